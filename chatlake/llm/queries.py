@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import conversations, formatting, mixing, splitting, tokens
+from chatlake.llm import conversations, credentials, encoding, formatting, mixing, splitting, tokens
 from chatlake.runtime import cut, load
 
 CASES = ["no_turns", "first_not_human", "last_not_assistant", "unknown_sender", "no_time", "lost_parent"]
@@ -30,6 +30,21 @@ def p1_conversations(spark: SparkSession, d: str) -> DataFrame:
     return conversations.ordered_conversations(msgs, conversations.check_conversations(msgs, order), order)
 
 
+def _redacted(spark: SparkSession, d: str) -> DataFrame:
+    msg = credentials.redact_column(load(spark, d, "claude_code_messages"), ["conversation_id", "uuid"], "content")
+    raw = credentials.redact_column(load(spark, d, "claude_code_raw"), ["conversation_id", "line_number"], "data")
+    msg = msg.select(F.lit("claude_code_messages").alias("table_name"), "conversation_id", F.col("uuid").alias("record_id"), "text", "n_found")
+    return msg.unionByName(raw.select(F.lit("claude_code_raw").alias("table_name"), "conversation_id", F.col("line_number").cast("string").alias("record_id"), "text", "n_found"))
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return _redacted(spark, d).select("table_name", "conversation_id", "record_id")
+
+
+def p2_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return _redacted(spark, d)
+
+
 def _rooted(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     web, emb = load(spark, d, "claude_web_messages"), load(spark, d, "message_embeddings")
     return {"claude_web_messages": formatting.roots(web, "uuid", "content"), "message_embeddings": formatting.hash_roots(emb, "source_uuid", "content_hash")}
@@ -72,8 +87,16 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(load(spark, d, "documents"), load(spark, d, "mix_targets"))[1]
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.find_garbled(load(spark, d, "documents"), "doc_id", "text")[0].select(F.col("id").alias("doc_id"))
+
+
+def p10_restored(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.restore_garbled(load(spark, d, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_conversations, p3_found, p3_groups, p5_found, p5_pieces, p8_ids, p9_mix, p9_shares)}
+    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p5_found, p5_pieces, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"
