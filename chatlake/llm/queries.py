@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import conversations, credentials, encoding, formatting, mixing, splitting, tokens
+from chatlake.llm import conversations, credentials, encoding, formatting, mixing, splitting, tokens, vectors
 from chatlake.runtime import cut, load
 
 CASES = ["no_turns", "first_not_human", "last_not_assistant", "unknown_sender", "no_time", "lost_parent"]
@@ -60,6 +60,19 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+_VECTORS = {"message_embeddings": "source_uuid", "conversation_topics": "topic_id"}
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    parts = [vectors.similar_pairs(load(spark, d, t), i, "embedding").select(F.lit(t).alias("table_name"), "id_a", "id_b") for t, i in _VECTORS.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
+    parts = [vectors.most_similar(load(spark, d, t), i, "embedding").select(F.lit(t).alias("table_name"), "*") for t, i in _VECTORS.items()]
+    return parts[0].unionByName(parts[1])
+
+
 def _limits(spark: SparkSession, d: str) -> dict[str, tuple[int, int]]:
     return {r["field_name"]: (r["max_chars"], r["overlap_chars"]) for r in load(spark, d, "split_limits").collect()}  # a row per field
 
@@ -96,7 +109,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p5_found, p5_pieces, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"
