@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatlake.llm import conversations, credentials, encoding, formatting, mixing, splitting, tokens, vectors
+from chatlake.llm import conversations, credentials, encoding, formatting, mixing, pii, splitting, tokens, vectors
 from chatlake.runtime import cut, load
 
 CASES = ["no_turns", "first_not_human", "last_not_assistant", "unknown_sender", "no_time", "lost_parent"]
@@ -88,6 +88,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_pieces(spark, d).filter("piece_no = 0").select("table_name", "item_id")
 
 
+def p6_redacted(spark: SparkSession, d: str) -> DataFrame:
+    names = load(spark, d, "name_list")
+    parts = [pii.redact_people(load(spark, d, t), i, "content", names).select(F.lit(t).alias("table_name"), "*") for t, i in (("claude_web_messages", "uuid"), ("chatgpt_messages", "message_id"))]
+    return parts[0].unionByName(parts[1])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_redacted(spark, d).select("table_name", "record_id", F.explode("kinds").alias("kind"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(load(spark, d, "documents"), "doc_id", "text")
 
@@ -109,7 +119,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"
