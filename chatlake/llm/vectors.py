@@ -31,7 +31,7 @@ from chatlake.runtime import cut
 #: at most, shards that a vector searches, its own first.
 SAMPLE, SAMPLE_MAX, SHARD_ROWS, SHARD_MAX, PROBES = 20_000, 200_000, 1_000, 100_000, 5
 #: Edges of a point, width of the beam, relaxation of the pruning, points that a beam opens at a time.
-DEGREE, BEAM, ALPHA, OPEN = 20, 28, 1.2, 4
+DEGREE, BEAM, ALPHA, OPEN = 24, 36, 1.2, 4
 #: Entry points of a shard of n points: so many times the square root of n.
 ENTRIES = 2.0
 _BATCH = 256
