@@ -65,7 +65,7 @@ def embed_texts(df: DataFrame, model: Embedder, key: str, content: str, batch: i
         for b in batches:
             for at in range(0, len(b), batch):
                 part = b.iloc[at : at + batch]
-                yield pd.DataFrame({"k": part["k"], "embedding": embed_halving(model, part["t"].tolist())})
+                yield pd.DataFrame({"k": part["k"].tolist(), "embedding": embed_halving(model, part["t"].tolist())})
 
     return src.mapInPandas(run, "k string, embedding array<float>").withColumnRenamed("k", key)
 

@@ -47,6 +47,6 @@ def summarize(df: DataFrame, model: Summarizer, keys: list[str], content: str) -
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b[keys].assign(topic_summary=[one(t) for t in b["_t"]])
+            yield pd.DataFrame({**{k: b[k].tolist() for k in keys}, "topic_summary": [one(t) for t in b["_t"]]})
 
     return src.mapInPandas(run, f"{kinds}, topic_summary string")
