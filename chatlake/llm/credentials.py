@@ -320,7 +320,9 @@ def redact_column(df: DataFrame, key_cols: list[str], text_col: str) -> DataFram
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             done = [redact(t) for t in b["text"]]
-            hit = [n > 0 for _, n in done]
-            yield b[hit].assign(text=[t for t, n in done if n], n_found=[n for _, n in done if n])
+            if not any(n for _, n in done):
+                continue
+            keys = {c: [v for v, (_, n) in zip(b[c].tolist(), done, strict=True) if n] for c in key_cols}
+            yield pd.DataFrame({**keys, "text": [t for t, n in done if n], "n_found": [n for _, n in done if n]})
 
     return src.mapInPandas(run, f"{kinds}, text string, n_found int").dropDuplicates(key_cols)

@@ -27,12 +27,13 @@ SALTS = 8
 
 
 def fold(text: Column) -> Column:
-    """Letters and digits in order, case folded."""
-    return F.lower(F.upper(F.regexp_replace(text, r"[^\p{L}\p{N}]+", "")))
+    """Letters and digits in order, case folded. The removal stands between the two conversions, which the optimizer
+    would otherwise reduce to the outer one."""
+    return F.lower(F.regexp_replace(F.upper(text), r"[^\p{L}\p{N}]+", ""))
 
 
 def _leaf(text: str) -> str:
-    return "".join(c for c in text if c.isalnum() or _letter_or_number(c)).upper().lower()
+    return "".join(c for c in text.upper() if c.isalnum() or _letter_or_number(c)).lower()
 
 
 def _letter_or_number(c: str) -> bool:

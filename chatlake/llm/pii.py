@@ -177,7 +177,7 @@ def _people(text: str, names: Names, out: list[Span]) -> None:
                     continue
                 if s and (text[s - 1].isdigit() or text[s - 1] in "@_/\\" or text[s - 1] == "." and s > 1 and text[s - 2].isalnum()) or text[e : e + 1] in ("@", "_", "/", "+") or _AT.match(text, e):
                     continue
-                if any(k == "o" and text[x[0]].islower() and x[1] - x[0] < 4 for x, k in zip(part, kinds, strict=True)):
+                if any(k == "o" and (text[x[0]].islower() and x[1] - x[0] < 4 or x[1] - x[0] < 3 and text[x[1] : x[1] + 1] != ".") for x, k in zip(part, kinds, strict=True)):
                     continue
                 f = [f"kinds:{kinds}", f"shape:{_shape(said)}", "comma" if any("," in g for g in gaps) else "plain", f"n:{n}"]
                 head = re.search(r"[^\s]+[ ]?$", text[max(0, s - 8) : s])

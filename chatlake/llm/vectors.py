@@ -217,11 +217,12 @@ def knn_classes(classes: DataFrame, k: int, probes: int, min_cosine: float) -> D
                 s = to[:, j]
                 rows.append(np.arange(len(s)))
                 shard.append(s)
-                part.append(np.zeros(len(s), np.int64))
+                own = np.zeros(len(s), np.int64)
+                part.append(own)
                 home.append(np.full(len(s), j == 0))
                 for i in np.flatnonzero(np.isin(s, list(parts))) if parts else ():
                     p, mine = parts[int(s[i])], int.from_bytes(keys[i][:4], "little") % parts[int(s[i])]
-                    part[-1][i] = mine
+                    own[i] = mine
                     rest = [q for q in range(p) if q != mine]
                     rows.append(np.full(len(rest), i))
                     shard.append(np.full(len(rest), s[i]))
