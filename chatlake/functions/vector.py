@@ -12,6 +12,11 @@ def dot(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == F.size(b), F.aggregate(both, F.lit(0.0).cast("double"), lambda acc, x: acc + x))
 
 
+def parse(text: Column) -> Column:
+    """A vector written as text, `[0.1,...]`; bad text is null."""
+    return F.from_json(text, "array<double>")
+
+
 def norm(a: Column) -> Column:
     return F.sqrt(dot(a, a))
 

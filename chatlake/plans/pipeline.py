@@ -40,6 +40,11 @@ class Warehouse:
     def has(self, name: str) -> bool:
         return name in self._at()
 
+    def require(self, *names: str) -> None:
+        """Raise if tables are missing; nothing is created for the caller."""
+        if missing := [n for n in names if not self.has(n)]:
+            raise LookupError(f"missing tables: {', '.join(missing)}")
+
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self._at()[name])
 

@@ -11,6 +11,7 @@ from chatlake import constants as K
 from chatlake.functions import ids, jsonx, text, vector
 from chatlake.models import embedder, summarizer
 from chatlake.operators import canonical, reuse, segment, stats, tree, union, upsert
+from chatlake.plans import normalize, topics
 from chatlake.runtime import load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,6 +363,56 @@ def accepted_versions(spark: SparkSession, d: str) -> DataFrame:
     return upsert.accepted_versions(v, "conversation_uuid", "updated_at", "o").groupBy("conversation_uuid").agg(F.count_if("accepted").alias("n_accepted"))
 
 
+_RAW = "raw AS (SELECT DISTINCT ON (record_uuid) * FROM claude_code_raw WHERE record_uuid IS NOT NULL ORDER BY record_uuid, conversation_id, line_number)"
+
+
+@query(
+    """WITH p AS (SELECT conversation_id, device, project_path, min(record_ts) AS a, max(record_ts) AS b FROM claude_code_raw GROUP BY ALL)
+    SELECT conversation_id, first(device ORDER BY a NULLS LAST, device, project_path) AS device, first(project_path ORDER BY a NULLS LAST, device, project_path) AS project_path, min(a) AS created_at, max(b) AS updated_at FROM p GROUP BY 1"""
+)
+def agent_conversations(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.agent_conversations(load(spark, d, "claude_code_raw"))
+
+
+@query(
+    """SELECT DISTINCT ON (record_uuid) record_uuid AS uuid, conversation_id, session_id, CASE record_type WHEN 'user' THEN 'human' ELSE record_type END AS sender, record_ts AS created_at FROM claude_code_raw
+    WHERE record_type IN ('user', 'assistant', 'summary') AND record_uuid IS NOT NULL ORDER BY record_uuid, conversation_id, line_number"""
+)
+def agent_messages(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.agent_messages(load(spark, d, "claude_code_raw")).select("uuid", "conversation_id", "session_id", "sender", "created_at")
+
+
+@query(f"WITH {_RAW} SELECT m.uuid, raw.parent_uuid FROM (SELECT DISTINCT uuid FROM claude_code_messages) m LEFT JOIN raw ON raw.record_uuid = m.uuid")
+def agent_parents(spark: SparkSession, d: str) -> DataFrame:
+    return normalize.with_parents(load(spark, d, "claude_code_messages").select("uuid").distinct(), load(spark, d, "claude_code_raw"))
+
+
+@query(
+    """WITH r AS (SELECT DISTINCT ON (conversation_id, line_number) conversation_id, line_number, record_uuid, record_ts, coalesce(data->>'$.message', data->>'$.content', '') AS t FROM claude_code_raw
+    WHERE record_type IN ('user', 'assistant') AND (data->>'$.message' IS NOT NULL OR data->>'$.content' IS NOT NULL))
+    SELECT conversation_id, line_number, row_number() OVER (PARTITION BY conversation_id ORDER BY record_ts ASC NULLS LAST, line_number, record_uuid) - 1 AS pos FROM r WHERE regexp_matches(t, '[^\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\p{Z}]')"""
+)
+def agent_sequence(spark: SparkSession, d: str) -> DataFrame:
+    raw = load(spark, d, "claude_code_raw").dropDuplicates(["conversation_id", "line_number"])
+    s = topics.agent_sequence(raw, _stored(spark, d))
+    return s.select("conversation_id", "line_number", F.col("pos").cast("bigint").alias("pos"))
+
+
+@query(
+    f"""WITH {_WEB}, {_STORED} SELECT conversation_uuid AS conversation_id FROM web LEFT JOIN stored ON uuid = source_uuid WHERE conversation_uuid IS NOT NULL AND content IS NOT NULL AND content <> ''
+    GROUP BY 1 HAVING count(*) >= 3 AND 2 * count(stored.embedding) >= count(*)"""
+)
+def ready_conversations(spark: SparkSession, d: str) -> DataFrame:
+    return segment.ready_conversations(_messages_with_vectors(spark, d))
+
+
+@query("SELECT topic_id, round(list_sum(embedding::double[]), 5) AS total, len(embedding) AS dims FROM conversation_topics WHERE embedding IS NOT NULL")
+def vectors_from_text(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors written as text and read back."""
+    t = load(spark, d, "conversation_topics").filter("embedding is not null").select("topic_id", vector.parse(F.to_json("embedding")).alias("v"))
+    return t.select("topic_id", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 5).alias("total"), F.size("v").cast("bigint").alias("dims"))
+
+
 # --- trees and attachments -------------------------------------------------------------------------------------------
 
 

@@ -52,6 +52,8 @@ def cut(df: DataFrame, label: str = "t") -> DataFrame:
     """Write `df` to the shared folder and read it again, so later plans neither recompute it nor depend on an executor."""
     spark = df.sparkSession
     path = os.path.join(shared_dir(spark), f"{label}-{uuid.uuid4().hex}")
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(at)  # gone with the application
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
