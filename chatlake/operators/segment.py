@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from chatlake import constants as K
 from chatlake.functions import text, vector
+from chatlake.runtime import cut
 
 
 def numbered(messages: DataFrame, conv: str, order: list) -> DataFrame:
@@ -81,7 +82,8 @@ def segment(msgs: DataFrame, conv: str = "conversation_id", key: str = "uuid", r
     Only positions, two lengths and a flag of each message pass through Python; texts and vectors stay in the JVM.
     """
     m = msgs.join(ready_conversations(msgs, conv, vec), conv, "left_semi")
-    m = boundaries(adjacent_similarity(m, conv, vec), threshold)
+    # written once: the similarities are needed for the cuts, for the rows and for the coherence
+    m = cut(boundaries(adjacent_similarity(m.select(conv, "pos", key, role, content, vec), conv, vec), threshold), "similar")
     label = text.role_label(F.col(role))
     line = F.concat(F.lit("["), label, F.lit("]: "), F.coalesce(content, F.lit("")))
     narrow = m.select(F.col(conv).alias("conv"), "pos", F.length(F.coalesce(content, F.lit(""))).alias("raw"), F.length(text.strip_blobs(line)).alias("shown"), "is_boundary")
