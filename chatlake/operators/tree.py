@@ -31,11 +31,11 @@ def canonical_path(mapping: Column) -> Column:
         stop = cur.isNull() | node.isNull() | F.array_contains(acc["seen"], F.coalesce(cur, F.lit("")))
         message = F.coalesce(node["message"], F.lit("{}"))
         said = ~message.isin("{}", "null", "")
-        return F.struct(
-            F.when(~stop, F.try_element_at(node["children"], F.lit(-1))).alias("cur"), F.when(stop, acc["seen"]).otherwise(F.array_append(acc["seen"], cur)).alias("seen"), F.when(stop | ~said, acc["path"]).otherwise(F.array_append(acc["path"], cur)).alias("path")
-        )
+        return F.named_struct(
+            F.lit("cur"), F.when(~stop, F.try_element_at(node["children"], F.lit(-1))), F.lit("seen"), F.when(stop, acc["seen"]).otherwise(F.array_append(acc["seen"], cur)), F.lit("path"), F.when(stop | ~said, acc["path"]).otherwise(F.array_append(acc["path"], cur))
+        )
 
-    zero = F.struct(start.alias("cur"), none.alias("seen"), none.alias("path"))
+    zero = F.named_struct(F.lit("cur"), start, F.lit("seen"), none, F.lit("path"), none)
     return F.when(F.size(mapping) > 0, F.aggregate(F.sequence(F.lit(1), F.size(mapping)), zero, step, lambda a: a["path"])).otherwise(none)
 
 
@@ -43,7 +43,8 @@ def tree_messages(convs: DataFrame, conv: str = "conversation_id", raw: str = "r
     """(conversation_id, message_id, parent_id, sender, content, content_type, created_at, is_canonical, parts): one row
     per node with a message, without context nodes of the user's settings and empty system messages."""
     m = convs.select(F.col(conv).alias("conversation_id"), F.from_json(F.get_json_object(raw, "$.mapping"), MAPPING).alias("m"))
-    nodes = m.select("conversation_id", canonical_path(F.col("m")).alias("path"), F.explode("m").alias("message_id", "node"))
+    paths = m.select("conversation_id", "m", canonical_path(F.col("m")).alias("path"))
+    nodes = paths.select("conversation_id", "path", F.explode("m").alias("message_id", "node"))
     msg = F.col("node.message")
     parts = F.from_json(F.get_json_object(msg, "$.content.parts"), "array<variant>")
     out = nodes.filter(msg.isNotNull() & ~msg.isin("{}", "null")).select(

@@ -16,7 +16,7 @@ def read_session_logs(spark: SparkSession, base: str) -> DataFrame:
 
     Lines are numbered from 1 and blank ones count. A file is one row only while it is split; its lines then spread.
     """
-    files = spark.read.option("wholetext", True).text(f"{base}/*/.claude/projects/*/*.jsonl").select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("file_mtime"))
+    files = spark.read.text(f"{base}/*/.claude/projects/*/*.jsonl", wholetext=True).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("file_mtime"))
     part = lambda i: F.url_decode(F.regexp_replace(F.regexp_extract("path", LAYOUT, i), r"\+", "%2B"))
     lines = files.select(part(1).alias("device"), ids.project_path(part(2)).alias("project_path"), part(3).alias("file_conversation"), "file_mtime", "path", F.posexplode(F.split("value", "\r\n|\n|\r")).alias("i", "line"))
     out = lines.select("device", "project_path", "file_conversation", ids.conversation_id(F.col("file_conversation")).alias("conversation_id"), "file_mtime", "path", (F.col("i") + 1).cast("int").alias("line_number"), F.regexp_replace("line", r"(?U)^\s+|\s+$", "").alias("line"))
@@ -39,5 +39,5 @@ def parse_records(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def count_files(spark: SparkSession, base: str) -> DataFrame:
     """(device, n_files): a dry run; all session files at any depth below a device's projects, contents unread."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True).load(base).select("path")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.jsonl").option("recursiveFileLookup", True).load(f"{base}/*/.claude/projects").select("path")
     return files.select(F.regexp_extract("path", r"([^/]+)/\.claude/projects/", 1).alias("device")).filter("device <> ''").groupBy("device").agg(F.count("*").alias("n_files"))
