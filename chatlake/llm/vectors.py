@@ -1,7 +1,9 @@
 """The most similar vectors of every vector, by robust-pruned graphs over shards.
 
 Method. Vectors are normalised; equal ones are one class, so a group of copies of any size is one point. Centroids fitted
-on a bounded sample route a class to its home shard and to the next best shards as a visitor. In each shard a directed
+on a bounded sample route a class to its home shard and to other shards as a visitor: to a stated number of the next best
+ones, or, where only pairs of a stated similarity are wanted, to all whose border with the home shard is so near that such
+pairs may lie across it, up to a number that grows with the logarithm of the shards. In each shard a directed
 graph is built: a greedy beam search from the medoid proposes neighbours for each point, robust pruning with a relaxed
 distance (ALPHA) keeps few and diverse edges, edges are also put in backwards and pruned again. Then a beam search over
 the finished graph answers the members of the shard and its visitors. Results of the shards are merged to the k best.
@@ -30,6 +32,9 @@ from chatlake.runtime import cut
 #: Vectors sampled to fit the centroids (more for many centroids, up to the second number), rows of a shard aimed at and
 #: at most, shards that a vector searches, its own first.
 SAMPLE, SAMPLE_MAX, SHARD_ROWS, SHARD_MAX, PROBES = 20_000, 200_000, 1_000, 100_000, 5
+#: Borders that a pair may lie across: nearer than so many standard deviations of the way, along a given direction, from a
+#: vector to one at the wanted similarity.
+BORDER = 1.5
 #: Edges of a point, width of the beam, relaxation of the pruning, points that a beam opens at a time.
 DEGREE, BEAM, ALPHA, OPEN = 24, 36, 1.2, 4
 #: Entry points of a shard of n points: so many times the square root of n.
@@ -184,7 +189,32 @@ def _matrix(column: object) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.float32).reshape(len(values), -1) if values else np.zeros((0, 1), np.float32)
 
 
-def knn_classes(classes: DataFrame, k: int, probes: int, min_cosine: float) -> DataFrame:
+def visits(x: np.ndarray, cents: np.ndarray, probes: int | None, min_cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(shards, whether to search them) of each vector, its home first.
+
+    With `probes`, the shards of so many best centroids. Without, all whose border is within reach at `min_cosine`, which
+    must be above 0; at most max(PROBES, 2 log2 of the shards), nearest first.
+    """
+    wide = min(len(cents), probes or max(PROBES, 2 * math.ceil(math.log2(max(2, len(cents))))))
+    sims = x @ cents.T
+    if probes:
+        to = np.argsort(-sims, axis=1, kind="stable")[:, :wide]
+        return to, np.ones(to.shape, bool)
+    more = min(len(cents), 2 * wide)  # a border may be nearer than that of a better centroid
+    to = np.argpartition(-sims, more - 1, axis=1)[:, :more]
+    sims = np.take_along_axis(sims, to, 1)
+    order = np.argsort(-sims, axis=1, kind="stable")
+    to, sims = np.take_along_axis(to, order, 1), np.take_along_axis(sims, order, 1)
+    reach = BORDER * math.sqrt(max(0.0, min_cosine**-2 - 1) / x.shape[1])
+    away = np.full(sims.shape, np.inf, np.float32)
+    i, j = np.nonzero(sims[:, :1] - sims <= 2 * reach)  # unit centroids are at most 2 apart
+    away[i, j] = (sims[i, 0] - sims[i, j]) / np.maximum(np.linalg.norm(cents[to[i, j]] - cents[to[i, 0]], axis=1), 1e-6)
+    away[:, 0] = -1.0
+    order = np.argsort(away, axis=1, kind="stable")[:, :wide]
+    return np.take_along_axis(to, order, 1), np.take_along_axis(away, order, 1) <= reach
+
+
+def knn_classes(classes: DataFrame, k: int, probes: int | None, min_cosine: float) -> DataFrame:
     """(key, other, cosine): up to k most similar other classes of each class (key binary, v binary of float32)."""
     n = classes.count()
     out = "key binary, other binary, cosine float"
@@ -195,7 +225,6 @@ def knn_classes(classes: DataFrame, k: int, probes: int, min_cosine: float) -> D
     count = min(count, max(1, take // 8))
     sample = classes.select("v").filter(F.pmod(F.xxhash64("key"), F.lit(max(1, n // take))) == 0).toArrow()  # at most about 2 * SAMPLE_MAX vectors
     cents = fit_centroids(_matrix(sample.column("v")), count) if sample.num_rows else _matrix(classes.select("v").limit(1).toArrow().column("v"))
-    probes = min(probes, len(cents))
 
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -209,22 +238,22 @@ def knn_classes(classes: DataFrame, k: int, probes: int, min_cosine: float) -> D
         for b in batches:
             if not b.num_rows:
                 continue
-            sims = _matrix(b.column(1)) @ cents.T
-            to = np.argsort(-sims, axis=1, kind="stable")[:, :probes]
+            to, go = visits(_matrix(b.column(1)), cents, probes, min_cosine)
             rows, shard, part, home = [], [], [], []
             keys = b.column(0).to_pylist() if parts else []
-            for j in range(probes):
-                s = to[:, j]
-                rows.append(np.arange(len(s)))
+            for j in range(to.shape[1]):
+                at = np.flatnonzero(go[:, j])
+                s = to[at, j]
+                rows.append(at)
                 shard.append(s)
                 own = np.zeros(len(s), np.int64)
                 part.append(own)
                 home.append(np.full(len(s), j == 0))
                 for i in np.flatnonzero(np.isin(s, list(parts))) if parts else ():
-                    p, mine = parts[int(s[i])], int.from_bytes(keys[i][:4], "little") % parts[int(s[i])]
+                    p, mine = parts[int(s[i])], int.from_bytes(keys[at[i]][:4], "little") % parts[int(s[i])]
                     own[i] = mine
                     rest = [q for q in range(p) if q != mine]
-                    rows.append(np.full(len(rest), i))
+                    rows.append(np.full(len(rest), at[i]))
                     shard.append(np.full(len(rest), s[i]))
                     part.append(np.array(rest))
                     home.append(np.zeros(len(rest), bool))
@@ -254,8 +283,13 @@ def knn_classes(classes: DataFrame, k: int, probes: int, min_cosine: float) -> D
     return hits.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).drop("r")
 
 
-def most_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 5, dims: int = 128, probes: int = PROBES, min_cosine: float = -1.0) -> DataFrame:
-    """(id, other, cosine): up to k most similar other vectors of each, at least `min_cosine` alike."""
+def most_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 5, dims: int = 128, probes: int | None = PROBES, min_cosine: float = -1.0) -> DataFrame:
+    """(id, other, cosine): up to k most similar other vectors of each, at least `min_cosine` alike.
+
+    `probes` may only be None, for shards by their borders (`visits`), with a `min_cosine` above 0.
+    """
+    if not probes and min_cosine <= 0:
+        raise ValueError("give probes where min_cosine is not above 0")
     src = df.filter(F.col(id_col).isNotNull() & (F.size(vec_col) == dims) & ~F.exists(vec_col, lambda e: e.isNull())).select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).cast("array<float>").alias("v"))
     rows = src.mapInArrow(_unit_rows(dims), "id string, key binary, v binary")
     members = cut(rows.groupBy("id").agg(F.max("key").alias("key")), "members")
@@ -279,7 +313,7 @@ def most_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 5, dims: int
     return both.select("id", F.explode(own).alias("e")).select("id", F.col("e.id").alias("other"), (-F.col("e.d")).alias("cosine"))
 
 
-def similar_pairs(df: DataFrame, id_col: str, vec_col: str, min_cosine: float = 0.8, k: int = 5, dims: int = 128, probes: int = 2) -> DataFrame:
+def similar_pairs(df: DataFrame, id_col: str, vec_col: str, min_cosine: float = 0.8, k: int = 5, dims: int = 128, probes: int | None = None) -> DataFrame:
     """(id_a, id_b), id_a < id_b: pairs at least `min_cosine` alike of which one is among the k most similar of the other."""
     near = most_similar(df, id_col, vec_col, k, dims, probes, min_cosine)
     return near.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()

@@ -49,3 +49,25 @@ def test_pairs(spark, monkeypatch):
     split = {(int(r["id_a"]), int(r["id_b"])) for r in V.similar_pairs(df, "source_uuid", "embedding", dims=32, probes=4).collect()}
     assert len(got & split) > 0.9 * len(got)
     assert V.similar_pairs(df.limit(0), "source_uuid", "embedding", dims=32).count() == 0
+
+
+def test_pairs_over_many_shards(spark, monkeypatch):
+    """Visits as in production, with shards so small that clusters are cut by many borders."""
+    monkeypatch.setattr(V, "SHARD_ROWS", 40)
+    r = np.random.default_rng(7)
+    x = (r.normal(size=(12, 32))[r.integers(0, 12, 1200)] + 0.35 * r.normal(size=(1200, 32))).astype(np.float32)
+    df = spark.createDataFrame([(f"{i:05}", [float(v) for v in r]) for i, r in enumerate(x)], "id string, v array<float>")
+    got = {(int(r["id_a"]), int(r["id_b"])) for r in V.similar_pairs(df, "id", "v", dims=32).collect()}
+    want = {(min(p), max(p)) for p in brute(x, 5, 0.8)}
+    assert len(want & got) >= 0.985 * len(want)
+
+
+def test_visits_grow_with_shards():
+    r = np.random.default_rng(8)
+    x = r.normal(size=(500, 32)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    for shards, most in ((1, 1), (3, 3), (20, 10), (400, 18)):
+        c = V.fit_centroids(r.normal(size=(8 * shards, 32)).astype(np.float32), shards)
+        to, go = V.visits(x, c, None, 0.8)
+        assert go[:, 0].all() and to.shape[1] == most and go.sum(1).max() == most
+        assert (to[:, 0] == (x @ c.T).argmax(1)).all() and all(len(set(row)) == most for row in to.tolist())
