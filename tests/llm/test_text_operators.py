@@ -349,3 +349,15 @@ def test_restored(spark):
     same = sum(got[i] == want[i] for i in want)
     assert same >= 0.8 * len(want), [(got[i], want[i]) for i in want if got[i] != want[i]]
     assert E.find_garbled(df.limit(0), "doc_id", "text")[0].count() == 0
+
+
+def test_copies_of_garbled(spark):
+    """A group of copies of a garbled text, larger than the documents with the originals."""
+    fr, ru = "Le modèle préfère écraser la tâche cet été.", "После этого индекс работал ровно час."
+    rows = [(i, f"{(fr, ru)[i % 2]} {'abcdefgh'[i // 2]}") for i in range(12)]
+    ja = "検索窓の結果は後に出ます。まず設定画面を止めてから、もう一度試してください。"
+    rows += [*((50 + i, ja) for i in range(4)), (60, E.garble(ja, (("utf-8", "cp1252"),)))]
+    rows += [(100 + i, E.garble(fr, (("utf-8", "cp1252"),))) for i in range(30)] + [(200 + i, E.garble(ru, (("koi8_r", "cp1251"),))) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["id"]: r["text"] for r in E.restore_garbled(df, "doc_id", "text").collect() if r["id"] >= 100}
+    assert got == {**{100 + i: fr for i in range(30)}, **{200 + i: ru for i in range(30)}}
