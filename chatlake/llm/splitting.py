@@ -3,9 +3,9 @@
 Method. Lexical cohesion: the text is cut into units (lines, else sentences, else words), and at each gap between units
 the words of the block before and of the block after are compared by cosine; a valley of this curve marks a change of
 topic, and its depth is the height of the lower of the two peaks beside it. A piece begins where the last one ended less
-the overlap. Among the gaps in the second half of its window the deepest valley is taken, paragraph ends before line
-ends before sentence ends before words where depths are equal; the last of equals wins. A stretch without any gap is cut
-at the limit, but not within a surrogate pair (Python strings have none) or before a combining mark.
+the overlap. Among the gaps in the second half of its window, or in the first half where the second has none, the deepest
+valley is taken, paragraph ends before line ends before sentence ends before words where depths are equal; the last of
+equals wins. A stretch without any gap is cut at the limit, but not within a surrogate pair (Python strings have none) or before a combining mark.
 
 The pieces of an item cover it: piece k+1 starts exactly `overlap` characters before the end of piece k, none is longer
 than the limit, and dropping the overlaps gives the text back. Lengths are in code points. Texts within the limit, null
@@ -103,14 +103,14 @@ def split_text(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
         low, high = start + max(limit // 2, overlap + 1), start + limit
         while at < len(marks) and marks[at][0] < low:
             at += 1
-        best, j = None, at
+        i = j = at
         while j < len(marks) and marks[j][0] <= high:
-            p, rank, d = marks[j]
-            key = (rank > 0, round(d, 6), rank, p)
-            if best is None or key > best[0]:
-                best = (key, p)
             j += 1
-        end = best[1] if best else high
+        if i == j:  # no gap in the second half
+            while i and marks[i - 1][0] > start + overlap:
+                i -= 1
+        best = max(((rank > 0, round(d, 6), rank, p) for p, rank, d in marks[i:j]), default=None)
+        end = best[-1] if best else high
         while not best and end > low and unicodedata.combining(text[end]):
             end -= 1
         out.append((start, end))

@@ -361,3 +361,12 @@ def test_copies_of_garbled(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     got = {r["id"]: r["text"] for r in E.restore_garbled(df, "doc_id", "text").collect() if r["id"] >= 100}
     assert got == {**{100 + i: fr for i in range(30)}, **{200 + i: ru for i in range(30)}}
+
+
+def test_boundary_in_first_half():
+    """The only natural boundary of a window lies in its first half; the unbroken run after it is not torn."""
+    head, run, tail = "A short paragraph.\n\n", "Q" * 90, "\n\nAnd the end of it."
+    assert S.split_text(head + run + tail, 100, 0) == [(0, len(head)), (len(head), len(head + run) + 2), (len(head + run) + 2, len(head + run + tail))]
+    long = head + "Q" * 250
+    spans = S.split_text(long, 100, 10)
+    assert spans[0] == (0, len(head)) and all(b - a <= 100 for a, b in spans) and all(n[0] == p[1] - 10 for p, n in zip(spans, spans[1:], strict=False)) and spans[-1][1] == len(long)
