@@ -145,6 +145,7 @@ def key_kind(data: bytes) -> str | None:
 
 
 _PCT = re.compile(r"[\w.~+%-]+")
+_PCT_SIGN = re.compile("%[0-9A-Fa-f]{2}")
 _ESC = re.compile(r"(?:\\+x[0-9A-Fa-f]{2}|\\+u[0-9A-Fa-f]{4}){6,}")
 _B64 = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
 _HEX = re.compile(r"(?:[0-9a-fA-F]{2}){12,}")
@@ -193,9 +194,9 @@ def _may_assign(low: str) -> bool:
 
 def _runs(text: str) -> Iterator[tuple[str, int, int]]:
     """(kind, start, end) of what may be encoded."""
-    if text.count("%") >= 3:
+    if "%" in text:
         for m in _PCT.finditer(text):
-            if m.group().count("%") >= 3:
+            if _PCT_SIGN.search(m.group()):
                 yield "pct", *m.span()
     if "\\x" in text or "\\u" in text:
         for m in _ESC.finditer(text):

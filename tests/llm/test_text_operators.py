@@ -370,3 +370,11 @@ def test_boundary_in_first_half():
     long = head + "Q" * 250
     spans = S.split_text(long, 100, 10)
     assert spans[0] == (0, len(head)) and all(b - a <= 100 for a, b in spans) and all(n[0] == p[1] - 10 for p, n in zip(spans, spans[1:], strict=False)) and spans[-1][1] == len(long)
+
+
+def test_single_percent_escape():
+    secret = "ghp_" + "a8Kd93LmQ2xZ7vTb5NcR1yWf6HjP0sGu4EoX"
+    text, n = K.redact(f"see token%3D{secret} for it")
+    assert n == 1 and secret not in text and text.startswith("see ") and text.endswith(" for it")
+    for clean in ("at 50%20off today", "name%3Dlist-of-things", "100%"):
+        assert K.redact(clean) == (clean, 0)
