@@ -110,6 +110,10 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(load(spark, d, "documents"), load(spark, d, "mix_targets"))[1]
 
 
+def p9_shard_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shard_shares(mixing.mix(load(spark, d, "documents"), load(spark, d, "mix_targets"))[0])
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return encoding.find_garbled(load(spark, d, "documents"), "doc_id", "text")[0].select(F.col("id").alias("doc_id"))
 
@@ -119,7 +123,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"

@@ -292,10 +292,11 @@ def test_tokens_against_library(spark):
 
 def test_sainte_lague():
     assert X.sainte_lague({"a": 53000, "b": 24000, "c": 23000}, 7) == {"a": 3, "b": 2, "c": 2}
+    assert X.sainte_lague({"big": 0.896, **{f"s{i:02}": 0.0052 for i in range(20)}}, 100)["big"] == 86
     r = random.Random(1)
-    for _ in range(40):
-        s = {k: r.random() for k in "abcdef"}
-        n = r.randrange(1, 300)
+    for _ in range(3000):
+        s = {k: r.random() ** r.choice([1, 4]) for k in "abcdefghijklmnop"[: r.randrange(1, 16)]}
+        n = r.randrange(1, 120)
         won = dict.fromkeys(s, 0)
         for _ in range(n):
             k = min(s, key=lambda k: (-(s[k] / (2 * won[k] + 1)), k))
@@ -312,7 +313,10 @@ def test_mixture(spark):
     targets = spark.createDataFrame([("big", 0.6, 1), ("small", 0.3, 3), ("none", 0.1, 2)], "source string, target_share double, max_repeats int")
     chosen, shares = X.mix(docs, targets)
     s = {x["source"]: x for x in shares.collect()}
-    assert abs(s["big"]["actual_share"] - 2 / 3) < 0.03 and abs(s["small"]["actual_share"] - 1 / 3) < 0.03 and s["none"]["used_tokens"] == 0
+    assert abs(s["big"]["actual_share"] - 2 / 3) < 0.005 and abs(s["small"]["actual_share"] - 1 / 3) < 0.005 and s["none"]["used_tokens"] == 0
+    per = X.shard_shares(chosen).collect()
+    assert sum(x["used_tokens"] for x in per) == sum(x["used_tokens"] for x in s.values())
+    assert all(len(x["shards"]) == x["uses"] and x["shards"] == sorted(x["shards"]) for x in chosen.collect())
     assert s["big"]["most_uses"] == 1 and s["small"]["most_uses"] == 3
     ids = [x["doc_id"] for x in chosen.collect()]
     assert len(ids) == len(set(ids)) and 5000 not in ids
@@ -351,6 +355,36 @@ def test_restored(spark):
     assert E.find_garbled(df.limit(0), "doc_id", "text")[0].count() == 0
 
 
+def test_forms_are_all_chains():
+    for w in ("été", "Привет", "検索", "한국"):
+        forms = E.garble_all(w)
+        for n, chain in enumerate(E.CHAINS):
+            g = E.garble(w, chain)
+            assert (n in forms.get(g, [])) == bool(g and g != w and not g.isascii())
+
+
+def test_long_garbled_word():
+    """An unbroken garbled word gives short windows that do not carry it."""
+    import pandas as pd
+
+    w = E.garble("検索窓の結果" * 1400, (("utf-8", "cp1252"),))
+    assert len(w) > 24_000 and E.odd(w) and not E.odd("検索窓の結果" * 50)
+    got = list(E._windows(iter([pd.DataFrame({"wid": [1], "word": [w * 2 + "".join(map(chr, range(0x4E00, 0x9E00)))], "texts": [1]})])))
+    assert sum(len(g) for g in got) and sum(sum(map(len, g["key"])) + sum(map(len, g["tail"])) + 16 * len(g) for g in got) < 20_000_000
+
+
+def test_one_document_and_double_bytes(spark):
+    """Originals of a single document; forms of any length; Japanese read by a Chinese table."""
+    ja = ["検索窓の結果は後に出ます", "まず設定画面を止めてから", "もう一度試してください", "検索窓の設定画面を試して", "結果は後に止めてください"]
+    rows = [(i, t) for i, t in enumerate([*ja, *ja, "La tâche a été écrasée hier."])]
+    bad = {100: E.garble(ja[0] + ja[2], (("utf-8", "gbk"),)) or E.garble(ja[0] + ja[2] + "す", (("utf-8", "gbk"),)), 101: E.garble("Une tâche écrasée.", (("utf-8", "cp1252"),)), 102: E.garble(ja[1] + ja[4], (("shift_jis", "gbk"),)), 103: E.garble(ja[3], (("euc_jp", "shift_jis"),))}
+    bad = {k: v for k, v in bad.items() if v}
+    assert {101} < set(bad)
+    df = spark.createDataFrame([*rows, *bad.items()], "doc_id bigint, text string")
+    got = {r["id"]: r["text"] for r in E.restore_garbled(df, "doc_id", "text").collect()}
+    assert set(got) == set(bad) and got[101] == "Une tâche écrasée."
+
+
 def test_copies_of_garbled(spark):
     """A group of copies of a garbled text, larger than the documents with the originals."""
     fr, ru = "Le modèle préfère écraser la tâche cet été.", "После этого индекс работал ровно час."
