@@ -224,13 +224,42 @@ def model():
     return P.Names(NAMES), P._trained(tuple(sorted(NAMES)))
 
 
+#: Sentences of other layouts than those of the training, written for this test; markers as in `pii_training`.
+HELD_OUT = """The appointment of {p} was moved to Thursday.|Best wishes¶{p}|Report filed by {p} on behalf of the night shift|Our landlord {p} never picks up {t}.|billing contact = {p} / {e} / {t}|Reply-To: {e}|if it pages, wake {p} on {t}|{p} <{e}> wrote:|<td>{p}</td><td>{t}</td><td>{e}</td>
+Her new flat is {s}, second bell.|Pick up the keys at {s} tomorrow.|invoice address: {s}|We shipped the laptop to {s} and it came back.|Passport {i} expires soon.|The clerk typed SSN {i} into the wrong form.|Driver licence: {i}|their tax number ({i}) is missing|Please delete my phone number {t} from the list.|WhatsApp {t}
+Ich heiße {p} und brauche Zugriff.|Rückruf bitte an {t}.|Er wohnt in der {s} im Hinterhaus.|Je suis {p} et je pars demain.|Mon portable est le {t}.|Elle habite {s}.|Mi nombre completo es {p}.|Llame al {t}, por favor.|Meu endereço novo é {s}.|Меня зовут {p}.|Мой телефон: {t}|Nazywam się {p}.|Το κινητό μου είναι {t}|我的手机号是{t}。|電話は{t}です。|Kimlik numaram {i}
+The nightly build {d} is green again.|Release {d} went out without trouble.|We shipped order {d} twice.|Nobody answers on host {d}.|Row {d} of the sheet is blank.|clone from git@{h}:ops/{v}.git and rebuild|pin {v}@{n} until the fix lands|The {w} page explains the {w} format.|Does the {g} of the line change?|{g} the run be green.|epoch {d} is in the future
+He asked whether {w} could be replaced.|{d} of them failed.|decorate it with @{v} first|Lane {d} and lane {d} merge.|One way or another, {d} rows are gone."""
+
+
 def test_held_out(model):
+    from chatlake.llm import pii_training as G
+
     names, w = model
+    r = random.Random(3)
+    langs = {"Ich": "de", "Rück": "de", "Er wo": "de", "Je ": "fr", "Mon": "fr", "Elle": "fr", "Mi ": "es", "Llame": "es", "Meu": "pt", "Меня": "ru", "Мой": "ru", "Nazywam": "pl", "Το": "el", "我": "zh", "電": "ja", "Kimlik": "tr"}
+    templates = [t.translate(G._SIGNS) for line in HELD_OUT.split("\n") for t in line.split("|")]
+    trained = {t for ts in [*G._WITH.values(), G._WITHOUT] for line in ts.strip().split("\n") for t in line.split("|")}
+    assert not trained & set(templates)
     ok = total = found = 0
-    for text, gold in P.training_examples(NAMES, 250, seed=77):
+    examples = G.training_examples(NAMES, 900, seed=r.randrange(10**6), templates=[(next((v for k, v in langs.items() if t.startswith(k)), "en"), t) for t in templates])
+    for text, gold in examples:
         got = set(P.find(text, names, w))
         ok, total, found = ok + len(got & set(gold)), total + len(gold), found + len(got)
-    assert ok / total > 0.9 and ok / found > 0.88
+    assert total > 300 and ok / total >= 0.9 and ok / found >= 0.9, (ok, total, found)
+
+
+@pytest.mark.parametrize("text", ["My name is Oyelaran Tshabalala and I run the import.", "Dear Nkechi Obuasi,\nthe file is there.", "我叫王小明，住在北京市朝阳区建国路88号。", "Меня зовут Аркадий Лютиков."])
+def test_unlisted_names(model, text):
+    assert "person" in {k for _, _, k in P.find(text, *model)}
+
+
+def test_long_addresses_are_whole(model):
+    local = ".".join(["part"] * 30) + "x" * 80
+    mail = f"{local}@{'sub.' * 10}mail.example"
+    assert len(mail) > 250 and P.find(f"Write to {mail} now", *model) == [(9, 9 + len(mail), "email")]
+    s = "Flat 12, 1204 Old Quillverton Street, Brackenhollowtown 90210"
+    assert P.find(f"We live at {s}.", *model) == [(11, 11 + len(s), "address")]
 
 
 @pytest.mark.parametrize("text", ["Clone git@code.host.example:tools/x.git first.", "Pin left-pad@1.3.0 now.", "Use the @dataclass and @app.get decorators.", "See build 4820-1173-9960.", "The epoch was 1700000000123.", "It answered from 10.20.30.40.", "We saw 58 Way merges and Lane 2 detection.", "May I rename the column?", "", "\n"])
@@ -247,22 +276,34 @@ def test_redaction(spark, model):
 
 
 def test_decoding_is_best(model):
-    """The dynamic programme against all sets of spans."""
+    """The dynamic programme, with the pull of neighbours, and the marginals against all sets of spans."""
     import itertools
+    import math
+
+    from chatlake.llm.pii_training import training_examples
 
     names, w = model
-    for text, _ in P.training_examples(NAMES, 60, seed=3):
-        spans = [s for s in P.propose(text, names) if P._score(s, w) > 0][:9]
-        best = 0.0
-        for n in range(len(spans) + 1):
-            for c in itertools.combinations(sorted(spans), n):
-                if all(a[1] <= b[0] for a, b in zip(c, c[1:], strict=False)):
-                    best = max(best, sum(P._score(s, w) for s in c))
-        chosen = {x[:3] for x in P.decode(spans, w)}
-        top = {}
-        for s in spans:
-            top[s[:3]] = max(top.get(s[:3], 0), P._score(s, w))
-        assert sum(top[c] for c in chosen) == pytest.approx(best)
+    w = dict(w) | {">person>phone": 0.7, ">phone>email": -0.9, ">person>email": 1.1}
+    for text, _ in training_examples(NAMES, 80, seed=3):
+        spans = sorted(P.propose(text, names), key=lambda x: (x[1], x[0]))[:9]
+        sc = [P._score(s, w) / 4 for s in spans]
+        pull = {(a, b): w.get(f">{a}>{b}", 0.0) for a in P.KINDS for b in P.KINDS}
+
+        def value(c):
+            near = sum(pull[spans[a][2], spans[b][2]] for a, b in zip(c, c[1:], strict=False) if spans[b][0] - spans[a][1] <= P.NEAR)
+            return sum(sc[i] for i in c) + near
+
+        sets = [c for n in range(len(spans) + 1) for c in itertools.combinations(range(len(spans)), n) if all(spans[a][1] <= spans[b][0] for a, b in zip(c, c[1:], strict=False))]
+        chosen = P.decode(spans, w, sc)
+        at = {s[:3]: i for i, s in enumerate(spans)}
+        assert value(tuple(at[c] for c in chosen)) == pytest.approx(max(map(value, sets)))
+        if spans:
+            z = sum(math.exp(value(c)) for c in sets)
+            prob, both = P._marginals(spans, sc, pull)
+            for i, p in enumerate(prob):
+                assert p == pytest.approx(sum(math.exp(value(c)) for c in sets if i in c) / z)
+            for (j, i), p in both.items():
+                assert p == pytest.approx(sum(math.exp(value(c)) for c in sets if (j, i) in list(zip(c, c[1:], strict=False))) / z)
 
 
 # --- tokens ----------------------------------------------------------------------------------------------------------
