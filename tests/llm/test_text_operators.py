@@ -436,13 +436,16 @@ def test_restored(spark):
             rows.append((1000 + 10 * k + i, E.garble(t, chain)))
     rows += [(1100, E.garble(clean[2], (("koi8_r", "cp1251"),))), (1101, E.garble(clean[3], (("shift_jis", "latin-1"),)))]
     want |= {1100: clean[2], 1101: clean[3]}
-    rows += [(2000, None), (2001, ""), (2002, "plain ascii"), (2003, "O catálogo AVELÃ® e a linha LÃ™ seguem iguais; a ROMÃ » não."), (2004, "PÂTÉ, CHÂTEAU – “Â” est une lettre.")]
+    rows += [(1102, "".join(c if c.isascii() else f"&#{ord(c)};" for c in E.garble(clean[1], (("utf-8", "cp1252"),)))), (1103, "".join(c if c.isascii() else f"&#x{ord(c):X};" for c in E.garble(clean[0], (("utf-8", "mac_roman"),))))]
+    want |= {1102: clean[1], 1103: clean[0]}
+    rows += [(2005, "caf&#233; &#38; th&#xe9;, &#1; &#9999999; &#55296; &x"), (2000, None), (2001, ""), (2002, "plain ascii"), (2003, "O catálogo AVELÃ® e a linha LÃ™ seguem iguais; a ROMÃ » não."), (2004, "PÂTÉ, CHÂTEAU – “Â” est une lettre.")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id bigint, text string, word int")
     got = {r["id"]: r["text"] for r in E.restore_garbled(df, "doc_id", "text").collect()}
     assert set(got) == set(want)
     same = sum(got[i] == want[i] for i in want)
     assert same >= 0.8 * len(want), [(got[i], want[i]) for i in want if got[i] != want[i]]
     assert E.find_garbled(df.limit(0), "doc_id", "text")[0].count() == 0
+    assert df.filter("doc_id = 2005").select(E.read_entities(E.F.col("text"))).first()[0] == "café &#38; thé, &#1; &#9999999; &#55296; &x"
 
 
 def test_forms_are_all_chains():
