@@ -16,20 +16,29 @@ CASES = ["no_turns", "first_not_human", "last_not_assistant", "unknown_sender",
 def _messages(spark: SparkSession, d: str) -> DataFrame:
     web = conversations.messages(load(spark, d, "claude_web_messages"), "web", "conversation_uuid", "uuid", "parent_message_uuid")
     code = conversations.messages(load(spark, d, "claude_code_messages"), "code", "conversation_id", "uuid", None)
+    code = conversations.with_links(cut(code, "code"), load(spark, d, "claude_code_raw"), "record_uuid", "parent_uuid")
     return cut(web.unionByName(code), "messages")
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    checked = conversations.check_conversations(_messages(spark, d))
-    return checked.filter(F.arrays_overlap("reasons", F.array(*map(F.lit, CASES)))).select("source_type", "conversation_id")
+    """Checked in Kahn's order; where that is not the clock's, the clock decides, as the cases are defined by it."""
+    msgs = _messages(spark, d)
+    checked = conversations.check_conversations(msgs, conversations.kahn_order(msgs))
+    return checked.filter(F.arrays_overlap("clock_reasons", F.array(*map(F.lit, CASES)))).select("source_type", "conversation_id")
 
 
-def p1_conversations(spark: SparkSession, d: str) -> DataFrame:
+def p1_turns(spark: SparkSession, d: str) -> DataFrame:
+    """The turns of the whole conversations, without their texts."""
     msgs = _messages(spark, d)
     order = conversations.kahn_order(msgs)
     return conversations.ordered_conversations(msgs, conversations.check_conversations(msgs, order), order)
 
 
+def p1_conversations(spark: SparkSession, d: str) -> DataFrame:
+    texts = conversations.texts(load(spark, d, "claude_web_messages"), "web", "uuid").unionByName(conversations.texts(load(spark, d, "claude_code_messages"), "code", "uuid"))
+    return p1_turns(spark, d).join(texts, ["source_type", "uuid"])
+
+
 def _redacted(spark: SparkSession, d: str) -> DataFrame:
     msg = credentials.redact_column(load(spark, d, "claude_code_messages"), ["conversation_id", "uuid"], "content")
     raw = credentials.redact_column(load(spark, d, "claude_code_raw"), ["conversation_id", "line_number"], "data")
@@ -123,7 +132,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_turns, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"
@@ -150,6 +159,39 @@ a AS (
 SELECT source_type, conversation_id FROM a WHERE n = 0 OR f <> 'human' OR l <> 'assistant' OR odd > 0 OR lost > 0
 """
 
+_P1_TURNS = r"""
+WITH RECURSIVE web AS (
+  SELECT DISTINCT ON (uuid) 'web' AS source_type, conversation_uuid AS conversation_id, uuid, sender, content, created_at, parent_message_uuid AS parent
+  FROM claude_web_messages WHERE conversation_uuid IS NOT NULL AND uuid IS NOT NULL ORDER BY uuid, updated_at),
+code AS (
+  SELECT DISTINCT ON (uuid) 'code' AS source_type, conversation_id, uuid, sender, content, created_at
+  FROM claude_code_messages WHERE conversation_id IS NOT NULL AND uuid IS NOT NULL),
+links AS (SELECT record_uuid AS uuid, min(parent_uuid) AS parent FROM claude_code_raw WHERE record_uuid IS NOT NULL AND parent_uuid IS NOT NULL GROUP BY 1),
+linked AS (SELECT code.*, l.parent FROM code LEFT JOIN (SELECT links.uuid, links.parent FROM links JOIN code c ON c.uuid = links.uuid JOIN code p ON p.uuid = links.parent AND p.conversation_id = c.conversation_id) l USING (uuid)),
+m AS (
+  SELECT *, CASE WHEN s IN ('human', 'user') THEN 'human' WHEN s = 'assistant' THEN s WHEN s IN ('system', 'tool', 'summary') THEN 'aside' ELSE 'unknown' END AS role,
+    NOT coalesce({blank}, false) AS blank, coalesce(lpad(epoch_us(created_at)::varchar, 20, '0'), '~') || ' ' || uuid AS k
+  FROM (SELECT *, lower(trim(sender, E' \t\n\r')) AS s FROM (SELECT * FROM web UNION ALL SELECT * FROM linked))),
+e AS (
+  SELECT source_type, conversation_id, uuid, k, k AS eff, 0 AS level FROM m WHERE parent IS NULL OR NOT EXISTS (SELECT 1 FROM m p WHERE p.uuid = m.parent AND p.conversation_id = m.conversation_id AND p.source_type = m.source_type)
+  UNION ALL
+  SELECT m.source_type, m.conversation_id, m.uuid, m.k, greatest(e.eff, m.k), CASE WHEN e.eff > m.k THEN e.level + 1 ELSE 0 END
+  FROM m JOIN e ON m.parent = e.uuid AND m.conversation_id = e.conversation_id AND m.source_type = e.source_type),
+t AS (SELECT m.*, e.eff, e.level, e.uuid IS NULL AS cyclic FROM m LEFT JOIN e USING (source_type, conversation_id, uuid)),
+a AS (
+  SELECT source_type, conversation_id,
+    count(*) FILTER (role IN ('human', 'assistant') AND NOT blank) AS n,
+    first(role ORDER BY eff, level, k) FILTER (role IN ('human', 'assistant') AND NOT blank) AS f,
+    last(role ORDER BY eff, level, k) FILTER (role IN ('human', 'assistant') AND NOT blank) AS l,
+    count(*) FILTER (cyclic OR NOT blank AND role <> 'aside' AND (role = 'unknown' OR created_at IS NULL)) AS odd,
+    count(*) FILTER (parent IS NOT NULL AND NOT EXISTS (SELECT 1 FROM m p WHERE p.uuid = t.parent AND p.conversation_id = t.conversation_id AND p.source_type = t.source_type)) AS lost
+  FROM t GROUP BY ALL),
+good AS (SELECT source_type, conversation_id FROM a WHERE n > 0 AND f = 'human' AND l = 'assistant' AND odd = 0 AND lost = 0)
+SELECT source_type, conversation_id, row_number() OVER w - 1 AS turn_no, uuid, role, created_at, lag(role) OVER w AS after{more}
+FROM t SEMI JOIN good USING (source_type, conversation_id) WHERE role IN ('human', 'assistant') AND NOT blank
+WINDOW w AS (PARTITION BY source_type, conversation_id ORDER BY eff, level, k)
+""".replace("{blank}", _BLANK.format("content"))
+
 _P5 = """
 SELECT DISTINCT 'claude_web_messages' AS table_name, uuid AS item_id FROM claude_web_messages
 WHERE length(content) > (SELECT max_chars FROM split_limits WHERE field_name = 'claude_web_messages.content')
@@ -160,4 +202,4 @@ WHERE length(chunk_text) > (SELECT max_chars FROM split_limits WHERE field_name
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": _P1, "p5_found": _P5}
+    return {"p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}

@@ -32,6 +32,20 @@ def checked(spark, rows):
     return m, {r["conversation_id"]: r["reasons"] for r in C.check_conversations(m).collect()}
 
 
+def test_order_decides_and_clock_is_reported(spark):
+    """A human reply dated before the answer that it replies to is the last turn, though not by the clock."""
+    rows = [("c", "a1", "human", "q", at(1), None), ("c", "a2", "assistant", "r", at(5), "a1"), ("c", "a3", "human", "s", at(3), "a2")]
+    m, got = checked(spark, rows)
+    assert got == {"c": ["last_not_assistant"]} and C.check_conversations(m).first()["clock_reasons"] == []
+    links = spark.createDataFrame([("a2", "a1"), ("a2", "zz"), ("a9", "a1"), ("a3", None), (None, "a1"), ("a3", "b1")], "record string, up string")
+    bare = m.withColumn("parent", C.F.lit(None).cast("string"))
+    assert {r["uuid"]: r["parent"] for r in C.with_links(bare, links, "record", "up").collect()} == {"a1": None, "a2": "a1", "a3": None}
+    rows = [("d", f"a{i}", r, "q", at(i), None) for i, r in enumerate(["human", "human", "assistant"])]
+    m, _ = checked(spark, rows)
+    order = C.kahn_order(m)
+    assert [(r["role"], r["after"]) for r in sorted(C.ordered_conversations(m, C.check_conversations(m, order), order).collect(), key=lambda r: r["turn_no"])] == [("human", None), ("human", "human"), ("assistant", "human")]
+
+
 def test_conversation_reasons(spark):
     rows = [
         ("ok", "a1", " Human", "q", at(1), None), ("ok", "a2", "ASSISTANT", "r", at(2), "a1"), ("ok", "a2", "ASSISTANT", "r", at(2), "a1"), ("ok", "a3", "system", "s", None, None), ("ok", "a4", "odd", " 　", None, None),
@@ -67,7 +81,7 @@ def kahn(nodes):
         del todo[u]
 
 
-@pytest.mark.parametrize("gather", [200_000, 3])
+@pytest.mark.parametrize("gather", [50_000, 3])
 def test_reply_order(spark, monkeypatch, gather):
     monkeypatch.setattr(C, "GATHER_ROWS", gather)
     r = random.Random(6)
@@ -86,6 +100,24 @@ def test_reply_order(spark, monkeypatch, gather):
     assert got == want
 
 
+@pytest.mark.parametrize("gather", [50_000, 1])
+def test_deep_replies_and_cycles(spark, monkeypatch, gather):
+    monkeypatch.setattr(C, "GATHER_ROWS", gather)
+    n = 70
+    rows = [("deep", f"d{i:02}", "human" if i == 0 else "assistant", "x", at((i * 37) % n), f"d{i - 1:02}" if i else None) for i in range(n)]
+    rows += [("loop", "l1", "human", "x", at(1), "l3"), ("loop", "l2", "human", "x", at(2), "l1"), ("loop", "l3", "human", "x", at(3), "l2"), ("loop", "l4", "human", "x", at(4), "l2"), ("loop", "l5", "human", "x", at(4), None), ("loop", "l6", "human", "x", at(3), "l5")]
+    m, _ = checked(spark, rows)
+    got = {r["uuid"]: (r["eff_time"], r["eff_uuid"], r["level"], r["is_cyclic"]) for r in C.kahn_order(m).collect()}
+    assert {u for u, x in got.items() if x[3]} == {"l1", "l2", "l3", "l4"}
+    best = -1
+    for i in range(n):
+        if (i * 37) % n > best:
+            best, where = (i * 37) % n, i
+        if i:
+            assert got[f"d{i:02}"][:3] == (at(best), f"d{where:02}", i - where)
+    assert got["l6"][:3] == (at(4), "l5", 1)
+
+
 # --- credentials -----------------------------------------------------------------------------------------------------
 
 PEM = "-----BEGIN RSA PRIVATE KEY-----\n" + "MIIEow" * 12 + "\n-----END RSA PRIVATE KEY-----"
