@@ -69,16 +69,16 @@ def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-_VECTORS = {"message_embeddings": "source_uuid", "conversation_topics": "topic_id"}
+_VECTORS = {"message_embeddings": ("source_uuid", "updated_at"), "conversation_topics": ("topic_id", "created_at")}
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = [vectors.similar_pairs(load(spark, d, t), i, "embedding").select(F.lit(t).alias("table_name"), "id_a", "id_b") for t, i in _VECTORS.items()]
+    parts = [vectors.similar_pairs(load(spark, d, t), i, "embedding", newest=new).select(F.lit(t).alias("table_name"), "id_a", "id_b") for t, (i, new) in _VECTORS.items()]
     return parts[0].unionByName(parts[1])
 
 
 def p4_neighbours(spark: SparkSession, d: str) -> DataFrame:
-    parts = [vectors.most_similar(load(spark, d, t), i, "embedding").select(F.lit(t).alias("table_name"), "*") for t, i in _VECTORS.items()]
+    parts = [vectors.most_similar(load(spark, d, t), i, "embedding", newest=new).select(F.lit(t).alias("table_name"), "*") for t, (i, new) in _VECTORS.items()]
     return parts[0].unionByName(parts[1])
 
 

@@ -3,14 +3,17 @@
 Method. Vectors are normalised; equal ones are one class, so a group of copies of any size is one point. Centroids fitted
 on a bounded sample route a class to its home shard and to other shards as a visitor: to a stated number of the next best
 ones, or, where only pairs of a stated similarity are wanted, to all whose border with the home shard is so near that such
-pairs may lie across it, up to a number that grows with the logarithm of the shards. In each shard a directed
-graph is built: a greedy beam search from the medoid proposes neighbours for each point, robust pruning with a relaxed
-distance (ALPHA) keeps few and diverse edges, edges are also put in backwards and pruned again. Then a beam search over
-the finished graph answers the members of the shard and its visitors. Results of the shards are merged to the k best.
+pairs may lie across it, up to a number that grows with the logarithm of the shards. A shard of more than twice SHARD_ROWS
+is routed once more within its task, by centroids of its own, so graphs stay small when there are more vectors than the
+bounded sample can give centroids for. In each shard a directed graph is built: a greedy beam search from the medoid and
+entry points spread over the shard proposes neighbours for each point, robust pruning with a relaxed distance (ALPHA)
+keeps few and diverse edges, edges are also put in backwards and pruned again. Then a beam search over the finished graph
+answers the members of the shard and its visitors. Results of the shards are merged to the k best.
 
 Every vector is indexed and every vector is a query. A shard whose home rows pass SHARD_MAX is split by hash of the id and
-its queries go to each part. Vectors that are null, of another width than `dims`, all zero, or not finite take no part.
-Repeated ids count once, with their last valid row. Equal similarities are ordered by id; among copies the smallest ids
+its queries go to each part; one with more than VISITS_MAX queries has them spread by hash over several tasks, each of
+which gets the members. So no task has more rows than these numbers say. Vectors that are null, of another width than `dims`, all zero, or not finite take no part.
+Repeated ids count once, with their newest valid row (the last by `newest`, where that is given). Equal similarities are ordered by id; among copies the smallest ids
 are the most similar. Extra columns are ignored; an empty table gives an empty result.
 """
 
@@ -32,6 +35,8 @@ from chatlake.runtime import cut
 #: Vectors sampled to fit the centroids (more for many centroids, up to the second number), rows of a shard aimed at and
 #: at most, shards that a vector searches, its own first.
 SAMPLE, SAMPLE_MAX, SHARD_ROWS, SHARD_MAX, PROBES = 20_000, 200_000, 1_000, 100_000, 5
+#: Queries of one task.
+VISITS_MAX = 50_000
 #: Borders that a pair may lie across: nearer than so many standard deviations of the way, along a given direction, from a
 #: vector to one at the wanted similarity.
 BORDER = 1.5
@@ -175,11 +180,11 @@ def _unit_rows(dims: int):  # noqa: ANN202
             x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(-1, dims)
             norm = np.linalg.norm(x.astype(np.float64), axis=1)
             ok = np.isfinite(norm) & (norm > 0)
-            ids = b.column(0).filter(pa.array(ok))
+            ids, new = b.column(0).filter(pa.array(ok)), b.column(2).filter(pa.array(ok))
             raw = [r.tobytes() for r in x[ok]]
             unit = [r.tobytes() for r in (x[ok] / norm[ok, None]).astype(np.float32)]
             keys = [hashlib.blake2b(r, digest_size=16).digest() for r in raw]
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.string()), pa.array(keys, pa.binary()), pa.array(unit, pa.binary())], names=["id", "key", "v"])
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.string()), pa.array(keys, pa.binary()), pa.array(unit, pa.binary()), new], names=["id", "key", "v", "new"])
 
     return run
 
@@ -214,6 +219,38 @@ def visits(x: np.ndarray, cents: np.ndarray, probes: int | None, min_cosine: flo
     return np.take_along_axis(to, order, 1), np.take_along_axis(away, order, 1) <= reach
 
 
+def nearest(x: np.ndarray, members: np.ndarray, queries: np.ndarray, k: int, probes: int | None, min_cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, member, cosine): up to k and one members of each query in the rows of one task, as row numbers.
+
+    Many members are split by centroids of their own, and queries routed to these, as all vectors are to the shards.
+    """
+    frm, to, cos = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    if len(members) > 2 * SHARD_ROWS:
+        count = math.ceil(len(members) / SHARD_ROWS)
+        some = members[:: max(1, len(members) // min(len(members), max(SAMPLE, 8 * count)))]
+        cents = fit_centroids(x[some], count)
+        own = np.concatenate([(x[members[at : at + 4096]] @ cents.T).argmax(1) for at in range(0, len(members), 4096)])
+        routes = [visits(x[queries[at : at + 4096]], cents, probes, min_cosine) for at in range(0, len(queries), 4096)]
+        shards, go = (np.concatenate(c) for c in zip(*routes, strict=True)) if routes else (np.zeros((0, 1), int), np.zeros((0, 1), bool))
+        groups = [(members[own == c], queries[((shards == c) & go).any(1)]) for c in range(len(cents))]
+    else:
+        groups = [(members, queries)]
+    for mine, asked in groups:
+        if not len(mine) or not len(asked):
+            continue
+        g = Graph(np.ascontiguousarray(x[mine]))
+        for at in range(0, len(asked), _BATCH):
+            q = asked[at : at + _BATCH]
+            ids, sims = g.search(x[q], max(BEAM, 2 * k))
+            ids, sims = ids[:, : k + 1], sims[:, : k + 1]
+            other = mine[np.maximum(ids, 0)]
+            r, c = np.nonzero((ids >= 0) & (sims >= min_cosine) & (other != q[:, None]))
+            frm.append(q[r])
+            to.append(other[r, c])
+            cos.append(np.minimum(sims[r, c], 1.0))
+    return np.concatenate(frm), np.concatenate(to), np.concatenate(cos)
+
+
 def knn_classes(classes: DataFrame, k: int, probes: int | None, min_cosine: float) -> DataFrame:
     """(key, other, cosine): up to k most similar other classes of each class (key binary, v binary of float32)."""
     n = classes.count()
@@ -229,10 +266,14 @@ def knn_classes(classes: DataFrame, k: int, probes: int | None, min_cosine: floa
     def homes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield pa.RecordBatch.from_arrays([pa.array((_matrix(b.column(0)) @ cents.T).argmax(1), pa.int32())], names=["shard"])
+                to, go = visits(_matrix(b.column(0)), cents, probes, min_cosine)
+                members, queries = np.bincount(to[:, 0], minlength=len(cents)), np.bincount(to[go], minlength=len(cents))
+                at = np.flatnonzero(queries)
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(members[at]), pa.array(queries[at])], names=["shard", "members", "queries"])
 
-    sizes = {r["shard"]: r["n"] for r in classes.select("v").mapInArrow(homes, "shard int").groupBy("shard").agg(F.count("*").alias("n")).collect()}  # one row per centroid
-    parts = {s: math.ceil(m / SHARD_MAX) for s, m in sizes.items() if m > SHARD_MAX}
+    counted = classes.select("v").mapInArrow(homes, "shard int, members bigint, queries bigint").groupBy("shard").agg(F.sum("members").alias("m"), F.sum("queries").alias("q")).collect()  # one row per centroid
+    parts = {r["shard"]: math.ceil(r["m"] / SHARD_MAX) for r in counted if r["m"] > SHARD_MAX}
+    rooms = {r["shard"]: math.ceil(r["q"] / VISITS_MAX) for r in counted if r["q"] > VISITS_MAX}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -257,42 +298,47 @@ def knn_classes(classes: DataFrame, k: int, probes: int | None, min_cosine: floa
                     shard.append(np.full(len(rest), s[i]))
                     part.append(np.array(rest))
                     home.append(np.zeros(len(rest), bool))
-            at = pa.array(np.concatenate(rows))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(shard).astype(np.int32)), pa.array(np.concatenate(part).astype(np.int32)), pa.array(np.concatenate(home)), b.column(0).take(at), b.column(1).take(at)], names=["shard", "part", "home", "key", "v"])
+            at, shard, part, home = np.concatenate(rows), np.concatenate(shard), np.concatenate(part), np.concatenate(home)
+            # each query is asked in one room, and members stand in all rooms of their shard
+            room, ask = np.zeros(len(at), np.int64), np.ones(len(at), bool)
+            crowded = np.flatnonzero(np.isin(shard, list(rooms))) if rooms else ()
+            if len(crowded):
+                keys = keys or b.column(0).to_pylist()
+                more = []
+                for i in crowded:
+                    n, room[i] = rooms[int(shard[i])], int.from_bytes(keys[at[i]][4:8], "little") % rooms[int(shard[i])]
+                    more += [(i, r) for r in range(n) if home[i] and r != room[i]]
+                if more:
+                    i, r = np.array(more).T
+                    at, shard, part, home = (np.concatenate([c, c[i]]) for c in (at, shard, part, home))
+                    room, ask = np.concatenate([room, r]), np.concatenate([ask, np.zeros(len(i), bool)])
+            rows = pa.array(at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard.astype(np.int32)), pa.array(part.astype(np.int32)), pa.array(room.astype(np.int32)), pa.array(home), pa.array(ask), b.column(0).take(rows), b.column(1).take(rows)], names=["shard", "part", "room", "home", "ask", "key", "v"]
+            )
 
     def search(t: pa.Table) -> pa.Table:
-        x, home = _matrix(t.column("v")), t.column("home").to_numpy()
+        x, home, ask = _matrix(t.column("v")), t.column("home").to_numpy(), t.column("ask").to_numpy()
         keys = np.array(t.column("key").to_pylist(), object)
-        mine = np.flatnonzero(home)
-        got = {"key": [], "other": [], "cosine": []}
-        if len(mine):
-            g = Graph(np.ascontiguousarray(x[mine]))
-            for at in range(0, len(x), _BATCH):
-                ids, sims = g.search(x[at : at + _BATCH], max(BEAM, 2 * k))
-                ids, sims = ids[:, : k + 1], sims[:, : k + 1]
-                other = mine[np.maximum(ids, 0)]
-                r, c = np.nonzero((ids >= 0) & (sims >= min_cosine) & (other != at + np.arange(len(ids))[:, None]))
-                got["key"].extend(keys[at + r])
-                got["other"].extend(keys[other[r, c]])
-                got["cosine"].extend(np.minimum(sims[r, c], 1.0).tolist())
-        return pa.table({"key": pa.array(got["key"], pa.binary()), "other": pa.array(got["other"], pa.binary()), "cosine": pa.array(got["cosine"], pa.float32())})
-
-    routed = classes.select("key", "v").mapInArrow(route, "shard int, part int, home boolean, key binary, v binary")
-    hits = routed.groupBy("shard", "part").applyInArrow(search, out)
+        frm, to, cos = nearest(x, np.flatnonzero(home), np.flatnonzero(ask), k, probes, min_cosine)
+        return pa.table({"key": pa.array(keys[frm], pa.binary()), "other": pa.array(keys[to], pa.binary()), "cosine": pa.array(cos, pa.float32())})
+
+    routed = classes.select("key", "v").mapInArrow(route, "shard int, part int, room int, home boolean, ask boolean, key binary, v binary")
+    hits = routed.groupBy("shard", "part", "room").applyInArrow(search, out)
     best = W.partitionBy("key").orderBy(F.desc("cosine"), "other")
     return hits.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= k).drop("r")
 
 
-def most_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 5, dims: int = 128, probes: int | None = PROBES, min_cosine: float = -1.0) -> DataFrame:
+def most_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 5, dims: int = 128, probes: int | None = PROBES, min_cosine: float = -1.0, newest: str | None = None) -> DataFrame:
     """(id, other, cosine): up to k most similar other vectors of each, at least `min_cosine` alike.
 
     `probes` may only be None, for shards by their borders (`visits`), with a `min_cosine` above 0.
     """
     if not probes and min_cosine <= 0:
         raise ValueError("give probes where min_cosine is not above 0")
-    src = df.filter(F.col(id_col).isNotNull() & (F.size(vec_col) == dims) & ~F.exists(vec_col, lambda e: e.isNull())).select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).cast("array<float>").alias("v"))
-    rows = src.mapInArrow(_unit_rows(dims), "id string, key binary, v binary")
-    members = cut(rows.groupBy("id").agg(F.max("key").alias("key")), "members")
+    src = df.filter(F.col(id_col).isNotNull() & (F.size(vec_col) == dims) & ~F.exists(vec_col, lambda e: e.isNull())).select(F.col(id_col).cast("string").alias("id"), F.col(vec_col).cast("array<float>").alias("v"), (F.col(newest).cast("timestamp") if newest else F.lit(None).cast("timestamp")).alias("new"))
+    rows = src.mapInArrow(_unit_rows(dims), "id string, key binary, v binary, new timestamp")
+    members = cut(rows.groupBy("id").agg(F.max(F.struct("new", "key")).alias("m")).select("id", "m.key"), "members")
     classes = cut(rows.groupBy("key").agg(F.first("v").alias("v")).join(members.select("key").distinct(), "key", "left_semi"), "classes")
     near = cut(knn_classes(classes, k, probes, min_cosine), "near")
 
@@ -313,7 +359,7 @@ def most_similar(df: DataFrame, id_col: str, vec_col: str, k: int = 5, dims: int
     return both.select("id", F.explode(own).alias("e")).select("id", F.col("e.id").alias("other"), (-F.col("e.d")).alias("cosine"))
 
 
-def similar_pairs(df: DataFrame, id_col: str, vec_col: str, min_cosine: float = 0.8, k: int = 5, dims: int = 128, probes: int | None = None) -> DataFrame:
+def similar_pairs(df: DataFrame, id_col: str, vec_col: str, min_cosine: float = 0.8, k: int = 5, dims: int = 128, probes: int | None = None, newest: str | None = None) -> DataFrame:
     """(id_a, id_b), id_a < id_b: pairs at least `min_cosine` alike of which one is among the k most similar of the other."""
-    near = most_similar(df, id_col, vec_col, k, dims, probes, min_cosine)
+    near = most_similar(df, id_col, vec_col, k, dims, probes, min_cosine, newest)
     return near.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()

@@ -62,6 +62,27 @@ def test_pairs_over_many_shards(spark, monkeypatch):
     assert len(want & got) >= 0.985 * len(want)
 
 
+def test_crowded_and_large_shards(spark, monkeypatch):
+    """Few centroids for many vectors, so shards are routed again; few queries a task, so members stand in many rooms."""
+    monkeypatch.setattr(V, "SAMPLE", 32)
+    monkeypatch.setattr(V, "SAMPLE_MAX", 32)
+    monkeypatch.setattr(V, "SHARD_ROWS", 60)
+    monkeypatch.setattr(V, "VISITS_MAX", 200)
+    monkeypatch.setattr(V, "SHARD_MAX", 450)
+    x = clusters(5)
+    df = spark.createDataFrame([(f"{i:05}", [float(v) for v in r]) for i, r in enumerate(x)], "id string, v array<float>")
+    rows = [(int(r["id_a"]), int(r["id_b"])) for r in V.similar_pairs(df, "id", "v", dims=32).collect()]
+    want = {(min(p), max(p)) for p in brute(x, 5, 0.8)}
+    assert len(rows) == len(set(rows)) and len(want & set(rows)) >= 0.9 * len(want) and len(set(rows) - want) <= 0.03 * len(want)
+
+
+def test_newest_row_stands(spark):
+    rows = [("a", [1.0, 0.0], "2024-01-02"), ("a", [0.0, 1.0], "2024-01-01"), ("a", None, "2024-01-03"), ("b", [1.0, 0.01], None), ("c", [0.01, 1.0], None)]
+    df = spark.createDataFrame(rows, "id string, v array<float>, at string")
+    got = lambda **k: {(r["id_a"], r["id_b"]) for r in V.similar_pairs(df, "id", "v", dims=2, **k).collect()}
+    assert got(newest="at") == {("a", "b")}
+
+
 def test_visits_grow_with_shards():
     r = np.random.default_rng(8)
     x = r.normal(size=(500, 32)).astype(np.float32)
