@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from chatlake.runtime import cut
 
-#: A group is spread over so many tasks when its members meet the kept record.
-SALTS = 8
+#: Members of a group that meet the kept record in one task; a larger group is spread over as many tasks as it takes.
+HOT_ROWS = 100_000
 
 
 def fold(text: Column) -> Column:
@@ -91,6 +91,7 @@ def roots(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     brace = F.col("text").rlike(r"(?U)^[\s﻿]*\{")
     plain = rows.filter(~brace).select("id", fold(F.col("text")).alias("canon")).withColumn("root", F.sha2(F.concat(F.lit("t"), "canon"), 256))
     obj = rows.filter(brace).select("id", fold(F.col("text")).alias("folded"), object_root("text").alias("o"))
+    obj = cut(obj, "objects")  # parsed once, read twice
     obj = obj.select("id", F.coalesce("o.canon", "folded").alias("canon"), F.when(F.col("o.digest").isNotNull(), F.col("o.digest")).otherwise(F.sha2(F.concat(F.lit("t"), "folded"), 256)).alias("root"))
     return plain.select("id", "root", "canon").unionByName(obj.select("id", "root", "canon"))
 
@@ -105,17 +106,27 @@ def hash_roots(df: DataFrame, id_col: str, hash_col: str) -> DataFrame:
 def collapse(rooted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(groups, copies) of (id, root, canon) rows.
 
-    groups: (id_keep, n_copies, root), one row per distinct record, n_copies counting distinct ids. copies: (id_keep,
-    id_copy), a row for every other id of a group. The first shuffle moves ids and digests only and combines before it;
-    canonical texts are shuffled for groups of more than one id alone. The kept record is given to SALTS tasks, so a
-    group with a third of all rows is spread.
+    groups: (id_keep, n_copies, root), one row per distinct record, n_copies counting the kept one and its confirmed
+    copies. copies: (id_keep, id_copy), a row for every other id of a group. The first shuffle moves ids and digests only
+    and combines before it; canonical texts are kept for groups of more than one id alone. A group of more than HOT_ROWS
+    is salted by its size; there are at most as many of these as HOT_ROWS goes into the rows.
     """
     one = rooted.select("id", "root").distinct()
-    groups = one.groupBy("root").agg(F.min("id").alias("id_keep"), F.count("*").alias("n_copies"))
-    several = cut(groups.filter("n_copies > 1").select("root", "id_keep"), "groups")
-    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
-    heads = several.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    members = cut(rooted.withColumn("salt", salt).join(heads, ["root", "salt"]).select("root", "salt", "id", "id_keep", "canon"), "members")
-    kept = members.filter("id = id_keep").select("root", F.col("canon").alias("kept_canon")).dropDuplicates(["root"]).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    copies = members.filter("id <> id_keep").join(kept, ["root", "salt"]).filter(F.col("canon") == F.col("kept_canon")).select("id_keep", F.col("id").alias("id_copy")).distinct()
-    return groups, copies
+    salts = F.ceil(F.col("n") / F.lit(HOT_ROWS)).cast("int")
+    sizes = cut(one.groupBy("root").agg(F.min("id").alias("id_keep"), F.count("*").alias("n")).withColumn("salts", salts), "groups")
+    several = sizes.filter("n > 1").select("root", "id_keep", "salts")
+    hot = several.filter("salts > 1").select("root", F.col("salts").alias("hot"))
+    rows = rooted
+    if not hot.isEmpty():
+        rows = rows.join(hot, "root", "left")
+    else:
+        rows = rows.withColumn("hot", F.lit(1))
+    salt = F.pmod(F.xxhash64("id"), F.coalesce("hot", F.lit(1))).cast("int")
+    spread = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+    members = cut(rows.withColumn("salt", salt).join(several.select("root", "id_keep", "salts", spread), ["root", "salt"]).select("root", "salt", "salts", "id", "id_keep", "canon"), "members")
+    kept = members.filter("id = id_keep").dropDuplicates(["root"]).select("root", F.col("canon").alias("kept_canon"), spread)
+    met = members.filter("id <> id_keep").join(kept.hint("merge"), ["root", "salt"]).filter(F.col("canon") == F.col("kept_canon"))
+    copies = cut(met.select("root", "id_keep", F.col("id").alias("id_copy")).distinct(), "copies")
+    confirmed = copies.groupBy("root").agg(F.count("*").alias("more"))
+    groups = sizes.join(confirmed, "root", "left").select("id_keep", (F.coalesce("more", F.lit(0)) + 1).alias("n_copies"), "root")
+    return groups, copies.select("id_keep", "id_copy")

@@ -230,7 +230,9 @@ def test_long_texts_take_linear_time(unit):
 # --- duplicates ------------------------------------------------------------------------------------------------------
 
 
-def test_duplicates(spark):
+@pytest.mark.parametrize("hot", [100_000, 1])
+def test_duplicates(spark, monkeypatch, hot):
+    monkeypatch.setattr(M, "HOT_ROWS", hot)
     rows = [
         ("b", "Hello, World 1!"), ("a", "hello world1"), ("a", "hello world1"), ("c", "HELLO\n\tWORLD-1"), ("d", "hello world 2"), ("e", "!!! …"), ("f", None), ("g", ""), ("h", "---"),
         ("j1", '{"a": 1, "b": [1, {"x": "Y z", "w": null}]}'), ("j2", '{ "b":[1,{"w":null,"x":"yZ"}],"A":1 }'), ("j3", '{"b": [{"w": null, "x": "yz"}, 1], "a": 1}'), ("p1", "{not json"), ("p2", "Not JSON"), ("s1", "Straße"), ("s2", "STRASSE"), (None, "hello world1"),
