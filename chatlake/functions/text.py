@@ -74,6 +74,13 @@ def pieces(text: Column, size: int = K.PIECE_CHARS, overlap: int = K.PIECE_OVERL
     return F.transform(F.sequence(F.lit(0), n - 1), lambda k: F.substring(text, k * stride + 1, F.lit(size)))
 
 
+def pieces_of(text: str, size: int = K.PIECE_CHARS, overlap: int = K.PIECE_OVERLAP) -> list[str]:
+    """The same pieces of a Python string."""
+    stride = size - overlap
+    n = 1 if len(text) <= size else -(-(len(text) - overlap) // stride)
+    return [text[k * stride : k * stride + size] for k in range(n)]
+
+
 def strip_blobs(text: Column) -> Column:
     return F.regexp_replace(text, K.BLOB_PATTERN, K.BLOB_MARK)
 

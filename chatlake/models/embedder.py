@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatlake.functions import text, vector
+from chatlake.functions import text
 
 
 class TooLong(Exception):
@@ -46,26 +46,43 @@ class HashingEmbedder:
         return (out / np.where(norm == 0, 1, norm)).tolist()
 
 
-def embed_halving(model: Embedder, texts: list[str]) -> list[list[float] | None]:
-    """Vectors of a batch; a batch that is too long is halved until single texts remain, which then give None."""
+def embed_halving(model: Embedder, texts: list[str], wholes: list[str] | None = None) -> list[list[float] | None]:
+    """Vectors of a batch. A batch that is too long is halved until single texts remain; of such a one, the whole text
+    (`wholes`, where what is in `texts` was truncated) is cut into overlapping pieces, whose vectors are averaged; it gives
+    None only if a piece is refused too."""
+    wholes = texts if wholes is None else wholes
     try:
         return list(model.embed(texts))
     except TooLong:
         if len(texts) == 1:
-            return [None]
+            return [_embed_pieces(model, wholes[0])]
         half = len(texts) // 2
-        return embed_halving(model, texts[:half]) + embed_halving(model, texts[half:])
+        return embed_halving(model, texts[:half], wholes[:half]) + embed_halving(model, texts[half:], wholes[half:])
+
+
+def _embed_pieces(model: Embedder, whole: str) -> list[float] | None:
+    pieces = text.pieces_of(whole)
+    if len(pieces) < 2:
+        return None
+    try:
+        return np.mean([model.embed([p])[0] for p in pieces], axis=0).tolist()
+    except TooLong:
+        return None
 
 
 def embed_texts(df: DataFrame, model: Embedder, key: str, content: str, batch: int = 100) -> DataFrame:
-    """(key, embedding): vectors in batches inside the partitions. Texts are cut to the model's length before."""
-    src = df.select(F.col(key).cast("string").alias("k"), text.for_model(F.coalesce(content, F.lit(""))).alias("t"))
+    """(key, embedding): vectors in batches inside the partitions. Texts are truncated for the model; one that it refuses
+    even so is embedded by the pieces of the whole text."""
+    whole = F.coalesce(content, F.lit(""))
+    src = df.select(F.col(key).cast("string").alias("k"), text.for_model(whole).alias("t"), F.when(F.length(whole) > F.length(text.for_model(whole)), whole).alias("whole"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), batch):
                 part = b.iloc[at : at + batch]
-                yield pd.DataFrame({"k": part["k"].tolist(), "embedding": embed_halving(model, part["t"].tolist())})
+                said = part["t"].tolist()
+                wholes = [w if isinstance(w, str) else t for w, t in zip(part["whole"].tolist(), said, strict=True)]
+                yield pd.DataFrame({"k": part["k"].tolist(), "embedding": embed_halving(model, said, wholes)})
 
     return src.mapInPandas(run, "k string, embedding array<float>").withColumnRenamed("k", key)
 
@@ -73,16 +90,13 @@ def embed_texts(df: DataFrame, model: Embedder, key: str, content: str, batch: i
 def embed_pending(pending: DataFrame, model: Embedder) -> DataFrame:
     """(source_uuid, source_type, content_hash, embedding, model) of pending texts.
 
-    Equal texts are embedded once. A text longer than a piece is embedded by its overlapping pieces, whose vectors are
-    averaged; the pieces are spread over the tasks like any other text.
+    Equal texts are embedded once, and a text that the model refuses by its pieces (see `embed_texts`); texts without a
+    vector have no row.
     """
     hashed = pending.withColumn("content_hash", text.content_hash(F.col("content")))
     one = hashed.groupBy("content_hash").agg(F.first("content").alias("content"))
-    parts = one.select("content_hash", F.posexplode(text.pieces(F.col("content"))).alias("no", "piece"))
-    keyed = parts.select(F.concat_ws("/", "content_hash", "no").alias("piece_id"), "piece")
-    vecs = embed_texts(keyed, model, "piece_id", "piece").withColumn("content_hash", F.substring_index("piece_id", "/", 1))
-    mean = vector.mean_vectors(vecs, "content_hash", "embedding").select("content_hash", F.col("vector").cast("array<float>").alias("embedding"))
-    return hashed.join(mean, "content_hash").select("source_uuid", "source_type", "content_hash", "embedding", F.lit(model.name).alias("model"))
+    vecs = embed_texts(one, model, "content_hash", "content").filter("embedding is not null")
+    return hashed.join(vecs, "content_hash").select("source_uuid", "source_type", "content_hash", "embedding", F.lit(model.name).alias("model"))
 
 
 def reembed(table: DataFrame, contents: DataFrame, model: Embedder, key: str, content: str) -> DataFrame:

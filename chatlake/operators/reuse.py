@@ -44,3 +44,12 @@ def reuse_by_hash(pending: DataFrame, stored: DataFrame) -> tuple[DataFrame, Dat
 def first_by_hash(df: DataFrame, key: str, text: str) -> DataFrame:
     """(content_hash, first_id, n): each distinct text with its smallest id and the number of rows."""
     return df.groupBy(content_hash(F.col(text)).alias("content_hash")).agg(F.min(key).alias("first_id"), F.count("*").alias("n"))
+
+
+def stored_contents(stored: DataFrame, agent: DataFrame, web: DataFrame) -> DataFrame:
+    """(source_uuid, content) of stored vectors (source_uuid, source_type): the text of the message each belongs to, the
+    agent's (uuid, content) for `code`, the web's for `web`, null where there is none. Ids are made unique first."""
+    side = lambda df, kind: df.groupBy(F.col("uuid").alias("source_uuid")).agg(F.min("content").alias(f"{kind}_content")).withColumn("source_type", F.lit(kind))
+    on = ["source_uuid", "source_type"]
+    j = stored.select(*on).join(side(agent, "code"), on, "left").join(side(web, "web"), on, "left")
+    return j.select("source_uuid", F.coalesce("code_content", "web_content").alias("content"))

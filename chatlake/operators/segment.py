@@ -41,6 +41,11 @@ def eligible_conversations(messages: DataFrame, stored: DataFrame, topics: DataF
     return rest.orderBy(F.desc("n_embedded"), conv).limit(limit) if limit else rest
 
 
+def hash_slice(df: DataFrame, key: str, worker: int | None, workers: int) -> DataFrame:
+    """The rows of one of `workers` slices by hash of the key; all without a worker. The hash does not depend on the rest."""
+    return df if worker is None or workers < 2 else df.filter(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(workers)) == worker)
+
+
 def cut_points(lengths: list[int], shown: list[int], bounds: list[bool], low: int = K.MIN_CHUNK_MESSAGES, high: int = K.MAX_CHUNK_MESSAGES, chars: int = K.MAX_CHUNK_CHARS) -> list[tuple[int, int]]:
     """Chunks (first, last) of one conversation.
 

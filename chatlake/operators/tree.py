@@ -39,19 +39,20 @@ def canonical_path(mapping: Column) -> Column:
     return F.when(F.size(mapping) > 0, F.aggregate(F.sequence(F.lit(1), F.size(mapping)), zero, step, lambda a: a["path"])).otherwise(none)
 
 
-def tree_messages(convs: DataFrame, conv: str = "conversation_id", raw: str = "raw") -> DataFrame:
-    """(conversation_id, message_id, parent_id, sender, content, content_type, created_at, is_canonical, parts): one row
-    per node with a message, without context nodes of the user's settings and empty system messages."""
-    m = convs.select(F.col(conv).alias("conversation_id"), F.from_json(F.get_json_object(raw, "$.mapping"), MAPPING).alias("m"))
-    paths = m.select("conversation_id", "m", canonical_path(F.col("m")).alias("path"))
-    nodes = paths.select("conversation_id", "path", F.explode("m").alias("message_id", "node"))
+def tree_messages(convs: DataFrame, conv: str = "conversation_id", raw: str = "raw", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(conversation_id, message_id, parent_id, sender, content, content_type, created_at, is_canonical, assets): one row
+    per node with a message, without context nodes of the user's settings and system messages without text. A message that
+    names no author has the sender `unknown`. Columns `keep` of the conversations go with them."""
+    m = convs.select(F.col(conv).alias("conversation_id"), *keep, F.from_json(F.get_json_object(raw, "$.mapping"), MAPPING).alias("m"))
+    paths = m.select("conversation_id", *keep, "m", canonical_path(F.col("m")).alias("path"))
+    nodes = paths.select("conversation_id", *keep, "path", F.explode("m").alias("message_id", "node"))
     msg = F.col("node.message")
     parts = F.from_json(F.get_json_object(msg, "$.content.parts"), "array<variant>")
     out = nodes.filter(msg.isNotNull() & ~msg.isin("{}", "null")).select(
-        "conversation_id", "message_id", F.col("node.parent").alias("parent_id"), F.get_json_object(msg, "$.author.role").alias("sender"), text.strip_nul(text.parts_text(parts)).alias("content"), F.coalesce(F.get_json_object(msg, "$.content.content_type"), F.lit("text")).alias("content_type"), jsonx.epoch_time(F.get_json_object(msg, "$.create_time")).alias("created_at"), F.array_contains("path", F.col("message_id")).alias("is_canonical"), text.parts_assets(parts).alias("assets")
+        "conversation_id", *keep, "message_id", F.col("node.parent").alias("parent_id"), F.coalesce(F.get_json_object(msg, "$.author.role"), F.lit("unknown")).alias("sender"), text.strip_nul(text.parts_text(parts)).alias("content"), F.coalesce(F.get_json_object(msg, "$.content.content_type"), F.lit("text")).alias("content_type"), jsonx.epoch_time(F.get_json_object(msg, "$.create_time")).alias("created_at"), F.array_contains("path", F.col("message_id")).alias("is_canonical"), text.parts_assets(parts).alias("assets")
     )
     context = F.col("content_type") == "user_editable_context"
-    return out.filter(~context & ~((F.col("sender") == "system") & (F.col("content") == "") & (F.size("assets") == 0)))
+    return out.filter(~context & ~((F.col("sender") == "system") & (F.coalesce("content", F.lit("")) == "")))
 
 
 def match_assets(pointers: DataFrame, members: DataFrame, archive: str = "archive") -> DataFrame:

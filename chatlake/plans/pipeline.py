@@ -12,12 +12,13 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatlake.models import embedder as E
-from chatlake.operators import reuse, stats, tree, upsert
+from chatlake.operators import reuse, segment, stats, tree, upsert
 from chatlake.plans import normalize, topics
-from chatlake.runtime import build_session
+from chatlake.runtime import build_session, cut
 from chatlake.sources import attachments, jsonl, zip_json
 
 log = logging.getLogger("chatlake")
@@ -79,14 +80,24 @@ class Warehouse:
         return counts
 
 
-def ingest_logs(w: Warehouse, base: str) -> dict[str, int]:
+def ingest_logs(w: Warehouse, base: str, limit: int | None = None) -> dict[str, int]:
+    """Log records of all devices. `limit` takes so many conversations of each device that have something new, by name."""
     lines = jsonl.read_session_logs(w.spark, base)
-    records, _ = jsonl.parse_records(lines)
+    records, errors = jsonl.parse_records(lines)
+    keys = ["conversation_id", "line_number"]
     take = dict.fromkeys(["record_type", "record_uuid", "parent_uuid", "session_id", "record_ts", "data", "file_mtime"], upsert.TAKE)
     rules = {"device": upsert.KEEP, "project_path": upsert.KEEP} | take
     numbered = records.withColumn("ord", F.xxhash64("device", "project_path"))
-    one = upsert.collapse(numbered, ["conversation_id", "line_number"], rules, "ord", newer="file_mtime")
-    return w.merge("agent_raw", one, ["conversation_id", "line_number"], take, newer="file_mtime")
+    if limit:
+        stored = w.read("agent_raw").select(*keys, F.col("file_mtime").alias("stored_mtime")) if w.has("agent_raw") else w.spark.createDataFrame([], "conversation_id string, line_number int, stored_mtime timestamp")
+        fresh = numbered.select("device", *keys, "file_mtime").join(stored, keys, "left").filter("stored_mtime is null or stored_mtime < file_mtime")
+        nth = F.row_number().over(W.partitionBy("device").orderBy("conversation_id"))
+        chosen = fresh.select("device", "conversation_id").distinct().withColumn("nth", nth).filter(F.col("nth") <= limit)
+        numbered = numbered.join(chosen.select("device", "conversation_id"), ["device", "conversation_id"], "left_semi")
+    one = cut(upsert.collapse(numbered, keys, rules, "ord", newer="file_mtime"), "logs")
+    counts = w.merge("agent_raw", one, keys, take, newer="file_mtime")
+    bad = errors.count()
+    return counts | ({"error": bad} if bad else {})
 
 
 def ingest_web(w: Warehouse, paths: list[str]) -> dict[str, int]:
@@ -105,36 +116,57 @@ def ingest_web(w: Warehouse, paths: list[str]) -> dict[str, int]:
     messages = zip_json.web_messages(ok).withColumn("o", F.struct("file_ordinal", "i"))
     mkeep, mtake = ["conversation_uuid", "sender", "created_at", "parent_message_uuid"], ["content", "updated_at", "metadata", "raw_data"]
     msgs = upsert.collapse(messages.filter("uuid is not null"), ["uuid"], dict.fromkeys(mkeep, upsert.KEEP) | dict.fromkeys(mtake, upsert.TAKE), "o").withColumn("is_canonical", F.lit(False))
-    from chatlake.runtime import cut
-
     raw, msgs = cut(raw, "raw"), cut(msgs, "msgs")  # both depend on the stored versions, which the first merge replaces
     counts = w.merge("web_raw", raw, ["conversation_id"], dict.fromkeys(take, upsert.TAKE))
-    w.merge("web_messages", msgs, ["uuid"], dict.fromkeys(mtake, upsert.TAKE))
-    return counts | {"error": errors.count() + bad.count()}
+    said = w.merge("web_messages", msgs, ["uuid"], dict.fromkeys(mtake, upsert.TAKE))
+    return counts | {f"messages_{k}": v for k, v in said.items()} | _failures(errors, bad)
+
 
+def _failures(errors: DataFrame, bad: DataFrame | None = None) -> dict[str, object]:
+    """How many archives and conversations failed, and the archives that they are in; one row per archive."""
+    per = errors.select("archive") if bad is None else errors.select("archive").unionByName(bad.select("archive"))
+    rows = per.groupBy("archive").agg(F.count("*").alias("n")).collect()
+    return {"error": sum(r["n"] for r in rows), "failed": sorted(r["archive"] for r in rows)}
 
-def ingest_tree(w: Warehouse, paths: list[str], attachment_root: str | None = None) -> dict[str, int]:
+
+def ingest_tree(w: Warehouse, paths: list[str], attachment_root: str | None = None, reprocess_attachments: bool = False) -> dict[str, int]:
+    """Tree exports. A version of a conversation counts where it is newer than the stored one and the versions before it;
+    the messages of all versions that count are merged in their order, so none of an earlier one is lost, and none of an
+    older export than the stored comes in. With `reprocess_attachments` the files of all versions are extracted again.
+    """
     items, members, errors = zip_json.read_archives(w.spark, paths)
     convs = zip_json.tree_conversations(items)
-    versions = convs.withColumn("o", F.struct("file_ordinal", "ordinal"))
-    ok = upsert.accepted_versions(versions, "conversation_id", "updated_at", "o").filter("accepted")
+    order = F.struct("file_ordinal", "ordinal")
+    versions = convs.withColumns({"o": order, "stored": F.lit(False)})
+    if w.has("tree_raw"):
+        stored = w.read("tree_raw").select("conversation_id", "updated_at").withColumns({"o": F.struct(F.lit(-1).alias("file_ordinal"), F.lit(-1).alias("ordinal")), "stored": F.lit(True)})
+        versions = versions.unionByName(stored, allowMissingColumns=True)
+    every = cut(upsert.accepted_versions(versions, "conversation_id", "updated_at", "o").filter("not stored").drop("stored"), "versions")
+    ok = every.filter("accepted")
     raw = upsert.collapse(ok, ["conversation_id"], {"created_at": upsert.KEEP, "title": upsert.TAKE, "updated_at": upsert.TAKE, "raw": upsert.TAKE, "archive": upsert.TAKE}, "o")
-    msgs = tree.tree_messages(raw).join(raw.select("conversation_id", "archive"), "conversation_id")
-    from chatlake.runtime import cut
-
-    msgs = cut(msgs, "tree")
-    counts = w.merge("tree_raw", raw.withColumnRenamed("raw", "data"), ["conversation_id"], dict.fromkeys(["title", "updated_at", "data", "archive"], upsert.TAKE), newer="updated_at")
-    one = msgs.drop("assets", "archive").dropDuplicates(["message_id"])
-    w.merge("tree_messages", one, ["message_id"], dict.fromkeys(["content", "is_canonical"], upsert.TAKE))
+    nodes = cut(tree.tree_messages(every if reprocess_attachments else ok, keep=("archive", "accepted", "o")), "tree")
+    keep, take = ["conversation_id", "parent_id", "sender", "content_type", "created_at"], ["content", "is_canonical"]
+    msgs = upsert.collapse(nodes.filter("accepted"), ["message_id"], dict.fromkeys(keep, upsert.KEEP) | dict.fromkeys(take, upsert.TAKE), "o")
+    raw, msgs = cut(raw, "raw"), cut(msgs, "msgs")
+    seen = every.agg(F.countDistinct("conversation_id").alias("n"), F.count_if(~F.col("accepted")).alias("skip")).first()
+    counts = w.merge("tree_raw", raw.withColumnRenamed("raw", "data"), ["conversation_id"], dict.fromkeys(["title", "updated_at", "data", "archive"], upsert.TAKE))
+    counts.pop("skip", None)  # conversations that this batch does not touch
+    said = w.merge("tree_messages", msgs, ["message_id"], dict.fromkeys(take, upsert.TAKE))
+    said.pop("skip", None)
+    out = counts | ({"skip": seen["skip"]} if seen["skip"] else {}) | {f"messages_{k}": v for k, v in said.items()}
     if attachment_root:
-        assets = msgs.filter("size(assets) > 0")
-        pointers = assets.select("archive", F.explode("assets").alias("a")).select("archive", "a.asset_pointer")
+        assets = nodes.filter("size(assets) > 0")
+        pointers = assets.select("archive", "conversation_id", F.explode("assets").alias("a")).select("archive", "conversation_id", "a.asset_pointer")
         matched = cut(tree.match_assets(pointers, members), "matched")
-        wanted = assets.select("archive", "conversation_id", F.explode("assets").alias("a")).select("archive", "conversation_id", "a.asset_pointer").join(matched, ["archive", "asset_pointer"])
+        wanted = pointers.join(matched, ["archive", "asset_pointer"])
         files = cut(attachments.extract_attachments(wanted, attachment_root), "files")
-        rows = attachments.attachment_rows(assets, matched, files).dropDuplicates(["source", "conversation_id", "filename"])
-        w.merge("attachments", rows, ["source", "conversation_id", "filename"], dict.fromkeys(["file_path", "file_hash"], upsert.TAKE))
-    return counts | {"error": errors.count()}
+        rows = attachments.attachment_rows(assets, matched, files).filter("file_path is not null")
+        key = ["source", "conversation_id", "filename"]
+        first = dict.fromkeys([c for c in rows.columns if c not in (*key, "file_path", "file_hash")], upsert.KEEP)
+        rows = upsert.collapse(rows.withColumn("o", F.struct("created_at", "message_id", "asset_pointer")), key, first | dict.fromkeys(["file_path", "file_hash"], upsert.TAKE), "o")
+        got = w.merge("attachments", cut(rows, "attachments"), key, dict.fromkeys(["file_path", "file_hash"], upsert.TAKE))
+        out["attachments"] = sum(v for k, v in got.items() if k != "skip")
+    return out | _failures(errors)
 
 
 def _empty(w: Warehouse, name: str, schema: str) -> DataFrame:
@@ -170,23 +202,58 @@ def run_embed(w: Warehouse, model: E.Embedder | None = None, limit: int | None =
     stored = _empty(w, "message_embeddings", STORED)
     pending = reuse.pending_messages(_empty(w, "web_messages", WEB), stored, "uuid", "content", "web", limit=limit)
     pending = pending.unionByName(reuse.pending_records(_empty(w, "agent_raw", RAW), stored, limit)).unionByName(reuse.pending_messages(_empty(w, "tree_messages", TREE), stored, "message_id", "content", "chatgpt", canonical=True, limit=limit)).dropDuplicates(["source_uuid"])
-    from chatlake.runtime import cut
-
     reused, rest = reuse.reuse_by_hash(cut(pending, "pending"), stored)
     made = E.embed_pending(rest.drop("content_hash"), model)
     new = cut(reused.unionByName(made).withColumn("updated_at", F.current_timestamp()), "vectors")
     return w.merge("message_embeddings", new, ["source_uuid"], {}, insert_only=True)
 
 
-def run_topics(w: Warehouse, model: E.Embedder | None = None) -> dict[str, int]:
-    """Topics of conversations that have none."""
-    stored, done = _empty(w, "message_embeddings", STORED), _empty(w, "topics", TOPICS).select("conversation_id").distinct()
-    web = topics.web_sequence(_empty(w, "web_messages", WEB), stored).join(done, "conversation_id", "left_anti")
-    agent = topics.agent_sequence(_empty(w, "agent_raw", RAW), stored).join(done, "conversation_id", "left_anti")
+def run_topics(w: Warehouse, model: E.Embedder | None = None, limit: int | None = None, worker: int | None = None, workers: int = 1) -> dict[str, int]:
+    """Topics of the conversations that are eligible: enough messages with vectors, and no topics yet. `limit` takes the
+    largest of each source, `worker` of `workers` those of one slice by hash of the conversation.
+    """
+    stored, done = _empty(w, "message_embeddings", STORED), _empty(w, "topics", TOPICS)
+    web_msgs, raw = _empty(w, "web_messages", WEB), _empty(w, "agent_raw", RAW)
+    ready = lambda msgs, conv, key: segment.hash_slice(segment.eligible_conversations(msgs, stored, done, conv, key), conv, worker, workers)
+    first = lambda e, conv: (e.orderBy(F.desc("n_embedded"), conv).limit(limit) if limit else e).select(F.col(conv).alias("conversation_id"))
+    web_ready = first(ready(web_msgs.filter("conversation_uuid is not null"), "conversation_uuid", "uuid"), "conversation_uuid")
+    agent_ready = first(ready(topics.agent_messages_with_text(raw), "conversation_id", "record_uuid"), "conversation_id")
+    web = topics.web_sequence(web_msgs, stored).join(web_ready, "conversation_id", "left_semi")
+    agent = topics.agent_sequence(raw, stored).join(agent_ready, "conversation_id", "left_semi")
     new = topics.build_topics(web, "web", model).unionByName(topics.build_topics(agent, "code", model))
     return w.merge("topics", new, ["conversation_id", "start_msg_idx", "end_msg_idx"], {}, insert_only=True)
 
 
+def run_reembed_messages(w: Warehouse, model: E.Embedder | None = None, worker: int | None = None, workers: int = 1) -> int:
+    """New vectors for stored messages from their texts, all or those of one worker; the number of stored rows."""
+    stored = w.read("message_embeddings")
+    mine = stored.select("source_uuid", "source_type")
+    if worker is not None:
+        mine = stats.worker_slice(mine, "source_uuid", workers).filter(F.col("worker") == worker).select("source_uuid", "source_type")
+    contents = reuse.stored_contents(mine, _empty(w, "agent_messages", "uuid string, content string"), _empty(w, "web_messages", WEB))
+    w.swap({"message_embeddings": E.reembed(stored, contents, model or E.HashingEmbedder(), "source_uuid", "content")})
+    return w.read("message_embeddings").count()
+
+
+def run_reembed_topics(w: Warehouse, model: E.Embedder | None = None) -> int:
+    """New vectors for topics from their summaries; topics without a summary keep theirs."""
+    t = w.read("topics")
+    w.swap({"topics": topics.reembed_topics(t, model or E.HashingEmbedder())})
+    return w.read("topics").count()
+
+
+def dry_run(w: Warehouse, logs: str | None, archives: list[str]) -> dict[str, object]:
+    """What the ingesting stages would read: session files per device; conversations, messages and attachments per archive."""
+    out: dict[str, object] = {}
+    if logs:
+        out["logs"] = {r["device"]: r["n_files"] for r in jsonl.count_files(w.spark, logs).collect()}  # a row per device
+    if archives:
+        items, members, errors = zip_json.read_archives(w.spark, archives)
+        out["archives"] = {r["archive"]: (r["n_conversations"], r["n_messages"], r["n_attachments"]) for r in zip_json.dry_run(items, members).collect()}  # a row per archive
+        out["failed"] = [r["archive"] for r in errors.collect()]
+    return out
+
+
 def run_status(w: Warehouse) -> DataFrame:
     t = {"web": _empty(w, "web_messages", WEB).select("uuid"), "code": _empty(w, "agent_messages", "uuid string").select("uuid"), "chatgpt": _empty(w, "tree_messages", TREE).select("message_id")}
     return stats.embedding_coverage(t, _empty(w, "message_embeddings", STORED))
@@ -219,43 +286,56 @@ class Pipeline:
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="chatlake", description="Stages of the warehouse.")
-    p.add_argument("stage", choices=["logs", "web", "tree", "normalize", "embed", "topics", "status", "all"])
+    p.add_argument("stage", choices=["logs", "web", "tree", "normalize", "embed", "topics", "reembed-messages", "reembed-topics", "status", "all"])
     p.add_argument("--warehouse", required=True)
     p.add_argument("--logs")
     p.add_argument("--web-inbox", action="append", default=[])
     p.add_argument("--tree-inbox", action="append", default=[])
+    p.add_argument("--mirror", action="append", default=[], help="folders of tree exports that are read but never moved")
+    p.add_argument("--file", help="one archive instead of all")
     p.add_argument("--attachments")
+    p.add_argument("--reprocess-attachments", action="store_true")
     p.add_argument("--limit", type=int)
+    p.add_argument("--worker", type=int)
+    p.add_argument("--workers", type=int, default=1)
     p.add_argument("--skip", action="append", default=[])
     p.add_argument("--dry-run", action="store_true")
     a = p.parse_args(argv)
     w = Warehouse(build_session(), a.warehouse)
+    found = lambda *roots: [a.file] if a.file else zip_json.list_archives([r for rs in roots for r in rs], a.limit)
     stages: dict[str, Callable[[], object]] = {
-        "logs": lambda: ingest_logs(w, a.logs) if a.logs else {},
-        "web": lambda: archive_done(zip_json.list_archives(a.web_inbox, a.limit), lambda ps: ingest_web(w, ps)),
-        "tree": lambda: archive_done(zip_json.list_archives(a.tree_inbox, a.limit), lambda ps: ingest_tree(w, ps, a.attachments)),
+        "logs": lambda: ingest_logs(w, a.logs, a.limit) if a.logs else {},
+        "web": lambda: archive_done(found(a.web_inbox), lambda ps: ingest_web(w, ps), a.web_inbox),
+        "tree": lambda: archive_done(found(a.tree_inbox, a.mirror), lambda ps: ingest_tree(w, ps, a.attachments, a.reprocess_attachments), a.tree_inbox),
         "normalize": lambda: run_normalize(w),
         "embed": lambda: run_embed(w, limit=a.limit),
-        "topics": lambda: run_topics(w),
+        "topics": lambda: run_topics(w, limit=a.limit, worker=a.worker, workers=a.workers),
     }
+    others = {"reembed-messages": lambda: run_reembed_messages(w, worker=a.worker, workers=a.workers), "reembed-topics": lambda: run_reembed_topics(w)}
     if a.stage == "status":
         run_status(w).show()
         return 0
+    if a.dry_run:
+        print(dry_run(w, a.logs, found(a.web_inbox, a.tree_inbox, a.mirror)))
+        return 0
     names = list(stages) if a.stage == "all" else [a.stage]
-    out = Pipeline([(n, stages[n]) for n in names]).run(set(a.skip), a.dry_run)
+    out = Pipeline([(n, (stages | others)[n]) for n in names]).run(set(a.skip))
     for n, r in out.items():
         print(n, r)
     return int(any(isinstance(r, Exception) for r in out.values()))
 
 
-def archive_done(paths: list[str], ingest: Callable[[list[str]], dict[str, int]]) -> dict[str, int]:
-    """Ingest archives and move them to `processed` beside them, if there was no error."""
+def archive_done(paths: list[str], ingest: Callable[[list[str]], dict[str, int]], inboxes: list[str] | None = None) -> dict[str, int]:
+    """Ingest archives and move those without an error to `processed` beside them; only out of `inboxes`, where given."""
     counts = ingest(paths) if paths else {}
-    if not counts.get("error"):
-        for p in paths:
-            done = os.path.join(os.path.dirname(p), "processed")
-            os.makedirs(done, exist_ok=True)
-            os.replace(p, os.path.join(done, os.path.basename(p)))
+    bad = {os.path.basename(str(f)) for f in counts.get("failed", [])}
+    roots = None if inboxes is None else {os.path.abspath(r) for r in inboxes}
+    for p in paths:
+        if os.path.basename(p) in bad or roots is not None and os.path.dirname(os.path.abspath(p)) not in roots:
+            continue
+        done = os.path.join(os.path.dirname(p), "processed")
+        os.makedirs(done, exist_ok=True)
+        os.replace(p, os.path.join(done, os.path.basename(p)))
     return counts
 
 

@@ -20,6 +20,17 @@ def web_sequence(messages: DataFrame, stored: DataFrame) -> DataFrame:
     return segment.numbered(m, "conversation_id", [F.asc_nulls_last("created_at"), F.asc("uuid")])
 
 
+def agent_messages_with_text(raw: DataFrame) -> DataFrame:
+    """User and assistant records with a message or a content that is not empty."""
+    said = raw.filter(F.col("record_type").isin("user", "assistant") & (jsonx.has_path(F.col("data"), "message") | jsonx.has_path(F.col("data"), "content")))
+    return said.filter(jsonx.content_for_topic(F.col("data")) != "")
+
+
+def reembed_topics(table: DataFrame, model: E.Embedder) -> DataFrame:
+    """The topics with new vectors of their summaries; without a summary they keep what they have."""
+    return E.reembed(table, table.filter("topic_summary is not null").select("topic_id", F.col("topic_summary").alias("content")), model, "topic_id", "content")
+
+
 def agent_sequence(raw: DataFrame, stored: DataFrame) -> DataFrame:
     """The same for user and assistant records of session logs; records without text take no place."""
     r = raw.filter(F.col("record_type").isin("user", "assistant") & (jsonx.has_path(F.col("data"), "message") | jsonx.has_path(F.col("data"), "content")))

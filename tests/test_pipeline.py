@@ -69,15 +69,17 @@ def test_zip(spark, world):
 
 def test_end_to_end(spark, world):
     w = P.Warehouse(spark, str(world / "wh"))
-    assert P.ingest_logs(w, str(world / "logs")) == {"insert": 3}
-    assert P.ingest_logs(w, str(world / "logs")) == {"skip": 3}
+    assert P.ingest_logs(w, str(world / "logs")) == {"insert": 3, "error": 1}
+    assert P.ingest_logs(w, str(world / "logs")) == {"skip": 3, "error": 1}
     paths = zip_json.list_archives([str(world / "web")])
     first = P.ingest_web(w, paths)
-    assert first == {"insert": 1, "error": 2}
-    assert P.ingest_web(w, paths[:1]) == {"skip": 1, "error": 1}  # nothing newer
+    assert {k: first[k] for k in ("insert", "error", "messages_insert")} == {"insert": 1, "error": 2, "messages_insert": 3}
+    assert [f.rsplit("/", 1)[1] for f in first["failed"]] == ["1.zip", "3.zip"]
+    again = P.ingest_web(w, paths[:1])  # nothing newer
+    assert (again["skip"], again["error"], again.get("insert"), again.get("update")) == (1, 1, None, None)
     assert w.read("web_raw").first()["name"] == "S"
     got = P.ingest_tree(w, [str(world / "tree/t.zip")], str(world / "att"))
-    assert got["insert"] == 1
+    assert (got["insert"], got["messages_insert"], got["attachments"]) == (1, 3, 1)
     a = w.read("attachments").first()
     assert a["filename"] == "file-A-pic.png" and a["content_type"] == "image/png" and open(a["file_path"], "rb").read() == b"png!"
     assert {r["message_id"]: r["is_canonical"] for r in w.read("tree_messages").collect()} == {"x": True, "y": False, "z": True}
@@ -92,12 +94,84 @@ def test_end_to_end(spark, world):
     assert topics["insert"] >= 1
     assert P.run_topics(w).get("insert", 0) == 0
     assert {r["source_type"]: r["percent"] for r in P.run_status(w).collect()}["web"] == 100
-    kept = P.archive_done(paths[:1], lambda _: {"error": 1})
-    assert kept["error"] and os.path.exists(paths[0])
+    P.archive_done(paths, lambda _: {"error": 1, "failed": ["file:/x/1.zip"]}, [str(world / "web")])
+    assert os.path.exists(paths[0]) and sorted(os.listdir(world / "web/processed")) == ["2.zip", "3.zip"]
+    P.archive_done(paths[:1], lambda _: {}, [str(world / "elsewhere")])
+    assert os.path.exists(paths[0])
     P.archive_done(paths[:1], lambda _: {})
     assert os.path.exists(str(world / "web/processed/1.zip"))
 
 
+def test_reembedding(spark, world):
+    from chatlake.models.embedder import HashingEmbedder
+
+    w = P.Warehouse(spark, str(world / "wh2"))
+    P.ingest_web(w, [str(world / "web/1.zip")])
+    P.run_normalize(w)
+    P.run_embed(w)
+    assert P.run_topics(w, limit=1)["insert"] >= 1
+    n = w.read("message_embeddings").count()
+    half = [P.run_reembed_messages(w, HashingEmbedder(64), k, 2) for k in (0, 1)]
+    assert half == [n, n] and {(r["model"], len(r["embedding"])) for r in w.read("message_embeddings").collect()} == {("hashing-64", 64)}
+    P.run_reembed_topics(w, HashingEmbedder(32))
+    assert all(len(r["embedding"]) == (32 if r["topic_summary"] else 128) for r in w.read("topics").collect())
+    parts = [w.read("web_messages").select("uuid").transform(lambda d, k=k: P.segment.hash_slice(d, "uuid", k, 3)).count() for k in range(3)]
+    assert sum(parts) == 3
+
+
+def test_refused_text_is_cut():
+    from chatlake.models import embedder as E
+
+    m = E.HashingEmbedder(16, max_batch_chars=7000)
+    long = "alpha beta gamma delta " * 600
+    got = E.embed_halving(m, ["short", long, "other"])
+    assert all(v is not None for v in got) and got[0] == m.embed(["short"])[0]
+    assert E.embed_halving(E.HashingEmbedder(16, max_batch_chars=10), ["x" * 50]) == [None]
+
+
+def node(p, c, role, parts):
+    return {"parent": p, "children": c, "message": role and {"author": {"role": role} if role != "?" else {}, "create_time": 1.7e9, "content": {"content_type": "text", "parts": parts}}}
+
+
+def test_older_export_after_newer(spark, tmp_path):
+    """An older export changes nothing; messages of every version that counted stay."""
+    v = lambda t, said, extra: {"id": "t1", "title": f"T{t}", "create_time": 1.7e9, "update_time": t, "mapping": {"x": node(None, ["y"], "user", ["q"]), "y": node("x", [], "?", [said]), **extra}}
+    for name, items in (("1.zip", [v(10.0, "first", {"only1": node("x", [], "assistant", ["kept"])}), v(20.0, "second", {})]), ("2.zip", [v(15.0, "stale", {"late": node("x", [], "assistant", ["no"])})]), ("3.zip", [v(30.0, "third", {})])):
+        put(str(tmp_path / name), archive(items, [("file-A.png", b"x")]))
+    w = P.Warehouse(spark, str(tmp_path / "wh"))
+    got = P.ingest_tree(w, [str(tmp_path / "1.zip")])
+    assert (got["insert"], got["messages_insert"]) == (1, 3)
+    state = lambda: ({r["message_id"]: (r["sender"], r["content"]) for r in w.read("tree_messages").collect()}, w.read("tree_raw").first()["title"])
+    want = ({"x": ("user", "q"), "y": ("unknown", "second"), "only1": ("assistant", "kept")}, "T20.0")
+    assert state() == want
+    got = P.ingest_tree(w, [str(tmp_path / "2.zip")])
+    assert (got.get("insert"), got.get("update"), got["skip"]) == (None, None, 1) and state() == want
+    P.ingest_tree(w, [str(tmp_path / "2.zip"), str(tmp_path / "3.zip")])
+    assert state() == ({**want[0], "y": ("unknown", "third")}, "T30.0")
+
+
+def test_attachments_again(spark, world):
+    w = P.Warehouse(spark, str(world / "wh3"))
+    t = str(world / "tree/t.zip")
+    assert "attachments" not in P.ingest_tree(w, [t])
+    assert P.ingest_tree(w, [t], str(world / "att"))["attachments"] == 0
+    got = P.ingest_tree(w, [t], str(world / "att"), reprocess_attachments=True)
+    assert (got["attachments"], got.get("insert"), got.get("update")) == (1, None, None)
+    assert P.dry_run(w, str(world / "logs"), [t])["logs"] == {"dev1": 2} and list(P.dry_run(w, None, [t])["archives"].values()) == [(1, 0, 1)]
+
+
+def test_limit_of_changed_conversations(spark, world):
+    w = P.Warehouse(spark, str(world / "wh4"))
+    log = lambda n: put(str(world / f"logs2/d/.claude/projects/p/{n}.jsonl"), json.dumps({"type": "user", "uuid": n, "message": n}))
+    for n in ("a", "b", "c"):
+        log(n)
+    sizes = []
+    for _ in range(4):
+        P.ingest_logs(w, str(world / "logs2"), limit=1)
+        sizes.append(w.read("agent_raw").count())
+    assert sizes == [1, 2, 3, 3]
+
+
 def test_stages():
     def bad():
         raise ValueError("x")
