@@ -2,22 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def canonical_flag(conv: str, sender: str, order: list[Column]) -> Column:
-    """True where the next message of the conversation is another sender's, or there is none. Null senders are equal to
-    each other; messages without a conversation are never canonical."""
-    w = W.partitionBy(conv).orderBy(*order)
-    last = F.lead(F.lit(1)).over(w).isNull()
-    return F.col(conv).isNotNull() & (last | ~F.lead(sender).over(w).eqNullSafe(F.col(sender)))
+from chatlake.operators import sequence
 
 
 def mark_canonical(df: DataFrame, conv: str, sender: str, time: str, key: str) -> DataFrame:
-    """`df` with is_canonical, by (time, key), null times last. One shuffle on the conversation."""
-    return df.withColumn("is_canonical", canonical_flag(conv, sender, [F.asc_nulls_last(time), F.asc(key)]))
+    """`df` with is_canonical, by (time, key), null times last: true where the next message of the conversation is another
+    sender's, or there is none. Null senders are equal to each other; messages without a conversation are never canonical.
+
+    `key` is unique and not null. Only the four columns are sorted, spread over tasks whatever the size of a conversation
+    (see `sequence.placed`); other columns are joined again by the key.
+    """
+    narrow = sequence.placed(df.select(conv, sender, time, key), conv, [time, key], {"_sender": sender})
+    last = F.col("is_last") | ~F.col("_sender").eqNullSafe(F.col(sender))
+    flags = narrow.select(conv, sender, time, key, (F.col(conv).isNotNull() & last).alias("is_canonical"))
+    if set(df.columns) == {conv, sender, time, key}:
+        return flags.select(*df.columns, "is_canonical")
+    return df.join(flags.select(key, "is_canonical"), key).select(*df.columns, "is_canonical")
 
 
 def canonical_counts(marked: DataFrame, by: str) -> DataFrame:

@@ -5,23 +5,30 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatlake import constants as K
 from chatlake.functions import text, vector
+from chatlake.operators import sequence
 from chatlake.runtime import cut
 
 
-def numbered(messages: DataFrame, conv: str, order: list) -> DataFrame:
-    """`messages` with pos, from 0 in each conversation."""
-    return messages.withColumn("pos", F.row_number().over(W.partitionBy(conv).orderBy(*order)) - 1)
+def numbered(messages: DataFrame, conv: str, order: list[str], keys: list[str]) -> DataFrame:
+    """`messages` with pos, from 0 in each conversation by `order`, nulls last. `keys` tell messages apart and are not null.
+
+    Only the narrow columns are sorted (see `sequence.placed`); texts and vectors are joined again by the keys, so a
+    conversation with a third of all messages is spread over many tasks.
+    """
+    narrow = messages.select(*dict.fromkeys([conv, *order, *keys]))
+    places = sequence.placed(narrow, conv, order).select(*keys, "pos")
+    return messages.join(places, keys).select(*messages.columns, "pos")
 
 
 def adjacent_similarity(msgs: DataFrame, conv: str = "conversation_id", vec: str = "embedding") -> DataFrame:
-    """`msgs` (with pos) and next_sim: cosine with the next message; null if either has no vector."""
-    nxt = F.lead(vec).over(W.partitionBy(conv).orderBy("pos"))
-    return msgs.withColumn("next_sim", vector.cosine(F.col(vec), nxt))
+    """`msgs` (with pos) and next_sim: cosine with the next message; null if either has no vector. The next one is joined
+    by its place, which is spread over tasks where a window over the conversation is not."""
+    following = msgs.select(conv, (F.col("pos") - 1).alias("pos"), F.col(vec).alias("_next_vec"))
+    return msgs.join(following, [conv, "pos"], "left").select(*msgs.columns, vector.cosine(F.col(vec), F.col("_next_vec")).alias("next_sim"))
 
 
 def boundaries(with_sim: DataFrame, threshold: float = K.SIMILARITY_THRESHOLD) -> DataFrame:
@@ -86,9 +93,10 @@ def segment(msgs: DataFrame, conv: str = "conversation_id", key: str = "uuid", r
 
     Only positions, two lengths and a flag of each message pass through Python; texts and vectors stay in the JVM.
     """
-    m = msgs.join(ready_conversations(msgs, conv, vec), conv, "left_semi")
+    m = cut(msgs.select(conv, "pos", key, role, content, vec), "messages")
+    m = m.join(ready_conversations(m, conv, vec), conv, "left_semi")
     # written once: the similarities are needed for the cuts, for the rows and for the coherence
-    m = cut(boundaries(adjacent_similarity(m.select(conv, "pos", key, role, content, vec), conv, vec), threshold), "similar")
+    m = cut(boundaries(adjacent_similarity(m, conv, vec), threshold), "similar")
     label = text.role_label(F.col(role))
     line = F.concat(F.lit("["), label, F.lit("]: "), F.coalesce(content, F.lit("")))
     narrow = m.select(F.col(conv).alias("conv"), "pos", F.length(F.coalesce(content, F.lit(""))).alias("raw"), F.length(text.strip_blobs(line)).alias("shown"), "is_boundary")

@@ -17,7 +17,7 @@ def web_sequence(messages: DataFrame, stored: DataFrame) -> DataFrame:
     """(conversation_id, uuid, role, content, embedding, pos) of web messages with content, by time."""
     m = messages.filter("conversation_uuid is not null and content is not null and content <> ''").select(F.col("conversation_uuid").alias("conversation_id"), "uuid", F.col("sender").alias("role"), "content", "created_at")
     m = m.join(stored.select(F.col("source_uuid").alias("uuid"), "embedding"), "uuid", "left")
-    return segment.numbered(m, "conversation_id", [F.asc_nulls_last("created_at"), F.asc("uuid")])
+    return segment.numbered(m, "conversation_id", ["created_at", "uuid"], ["uuid"])
 
 
 def agent_messages_with_text(raw: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def agent_sequence(raw: DataFrame, stored: DataFrame) -> DataFrame:
     r = raw.filter(F.col("record_type").isin("user", "assistant") & (jsonx.has_path(F.col("data"), "message") | jsonx.has_path(F.col("data"), "content")))
     m = r.select("conversation_id", F.col("record_uuid").alias("uuid"), F.col("record_type").alias("role"), jsonx.content_for_topic(F.col("data")).alias("content"), "record_ts", "line_number").filter(~text.is_blank(F.col("content")))
     m = m.join(stored.select(F.col("source_uuid").alias("uuid"), "embedding"), "uuid", "left")
-    return segment.numbered(m, "conversation_id", [F.asc_nulls_last("record_ts"), F.asc("line_number"), F.asc("uuid")])
+    return segment.numbered(m, "conversation_id", ["record_ts", "line_number", "uuid"], ["conversation_id", "line_number"])
 
 
 def build_topics(messages: DataFrame, source_type: str, model: E.Embedder | None = None, summaries: S.Summarizer | None = None, threshold: float = K.SIMILARITY_THRESHOLD) -> DataFrame:

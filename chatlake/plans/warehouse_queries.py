@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatlake import constants as K
@@ -39,6 +39,10 @@ def _stored(spark: SparkSession, d: str) -> DataFrame:
     return e.groupBy("source_uuid").agg(F.max_by(F.struct("source_type", "content_hash", "embedding", "model"), F.struct("updated_at", "content_hash")).alias("r")).select("source_uuid", "r.*")
 
 
+def _total(vec: str) -> Column:
+    return F.aggregate(vec, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double"))
+
+
 _WEB = "web AS (SELECT DISTINCT ON (uuid) * FROM claude_web_messages)"
 _STORED = "stored AS (SELECT DISTINCT ON (source_uuid) * FROM message_embeddings WHERE len(embedding) = 128 ORDER BY source_uuid, updated_at DESC, content_hash DESC)"
 _CANON = "(lead(1) OVER w IS NULL OR lead({s}) OVER w IS DISTINCT FROM {s})"
@@ -111,15 +115,19 @@ def record_times(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT conversation_id, line_number, CASE WHEN a NOT LIKE '{%' THEN md5(a) END AS for_store, CASE WHEN b NOT LIKE '{%' AND b NOT LIKE '[%' THEN md5(b) END AS for_topic
+    """SELECT conversation_id, line_number, CASE WHEN a NOT LIKE '{%' THEN md5(a) END AS for_store, CASE WHEN a LIKE '{%' THEN list_aggr(list_sort(json_keys(a)), 'string_agg', ',') END AS store_keys,
+    CASE WHEN b NOT LIKE '{%' AND b NOT LIKE '[%' THEN md5(b) END AS for_topic, CASE WHEN b LIKE '{%' THEN list_aggr(list_sort(json_keys(b)), 'string_agg', ',') END AS topic_keys, CASE WHEN b LIKE '[%' THEN json_array_length(b)::bigint END AS topic_items
     FROM (SELECT *, coalesce(data->>'$.message', data->>'$.content[0].text', data->>'$.text', '') AS a, coalesce(data->>'$.message', data->>'$.content', '') AS b FROM claude_code_raw)"""
 )
 def json_fallback(spark: SparkSession, d: str) -> DataFrame:
-    """Digests, and nulls for objects and lists, whose spelling is not SQL's."""
+    """Digests of texts; of objects and lists, whose spelling is not SQL's, the keys and the length."""
     raw = F.col("data")
     a, b = jsonx.content_for_store(raw), jsonx.content_for_topic(raw)
-    return load(spark, d, "claude_code_raw").select("conversation_id", "line_number", F.when(~F.startswith(a, F.lit("{")), F.md5(a)).alias("for_store"), F.when(~b.rlike(r"^[{\[]"), F.md5(b)).alias("for_topic"))
-
+    keys = lambda c: F.when(F.startswith(c, F.lit("{")), F.array_join(F.array_sort(F.json_object_keys(c)), ","))
+    items = F.when(F.startswith(b, F.lit("[")), F.json_array_length(b).cast("bigint"))
+    return load(spark, d, "claude_code_raw").select(
+        "conversation_id", "line_number", F.when(~F.startswith(a, F.lit("{")), F.md5(a)).alias("for_store"), keys(a).alias("store_keys"), F.when(~b.rlike(r"^[{\[]"), F.md5(b)).alias("for_topic"), keys(b).alias("topic_keys"), items.alias("topic_items")
+    )
 
 @query("SELECT topic_id, coalesce(nullif(topic_summary, ''), nullif(source_type, ''), 'Untitled') AS name FROM conversation_topics")
 def display_names(spark: SparkSession, d: str) -> DataFrame:
@@ -174,12 +182,16 @@ def block_texts(spark: SparkSession, d: str) -> DataFrame:
     return r.distinct()
 
 
-@query("""SELECT p_partkey, CASE regexp_extract(lower(p_name), '[^.](\\.[^.]+)$', 1) WHEN '.png' THEN 'image/png' ELSE 'application/octet-stream' END AS content_type FROM (SELECT p_partkey, p_type || CASE p_partkey % 3 WHEN 0 THEN '.PNG' WHEN 1 THEN '.bin' ELSE '' END AS p_name FROM part)""")
+_NAMES = ", ".join(f"'{x}'" for x in [*K.CONTENT_TYPES, ".PNG", ".Jpg", ".bin", "", ".tar.gz", ".json/"])
+_TYPES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.CONTENT_TYPES.items())
+
+
+@query(f"""SELECT p_partkey, CASE regexp_extract(lower(n), '[^/.](\\.[^./]+)$', 1) {_TYPES} ELSE '{K.DEFAULT_CONTENT_TYPE}' END AS content_type FROM (SELECT p_partkey, p_type || ([{_NAMES}])[(p_partkey % {len(K.CONTENT_TYPES) + 6} + 1)::bigint] AS n FROM part)""")
 def content_types(spark: SparkSession, d: str) -> DataFrame:
-    name = F.concat("p_type", F.when(F.col("p_partkey") % 3 == 0, ".PNG").when(F.col("p_partkey") % 3 == 1, ".bin").otherwise(""))
+    ends = [*K.CONTENT_TYPES, ".PNG", ".Jpg", ".bin", "", ".tar.gz", ".json/"]
+    name = F.concat("p_type", F.element_at(F.array(*map(F.lit, ends)), (F.col("p_partkey") % len(ends) + 1).cast("int")))
     return load(spark, d, "part").select("p_partkey", text.content_type(name).alias("content_type"))
 
-
 @query("SELECT DISTINCT project_path, CASE WHEN project_path LIKE '/%' THEN replace(project_path, '-', '/') END AS back FROM claude_code_raw")
 def project_paths(spark: SparkSession, d: str) -> DataFrame:
     """Paths written as folder names and read back."""
@@ -208,33 +220,33 @@ def pending_tree(spark: SparkSession, d: str) -> DataFrame:
     return reuse.pending_messages(load(spark, d, "chatgpt_messages").dropDuplicates(["message_id"]), load(spark, d, "message_embeddings"), "message_id", "content", "chatgpt", canonical=True)
 
 
-@query()
+@query(
+    f"""SELECT DISTINCT record_uuid AS source_uuid, 'code' AS source_type, CASE WHEN c NOT LIKE '{{%' AND c NOT LIKE '[%' THEN md5(c) END AS digest FROM (SELECT *, coalesce(data->>'$.message', data->>'$.content', '{{') AS c FROM claude_code_raw)
+    WHERE record_type IN ('user', 'assistant') AND record_uuid IS NOT NULL AND length(json(data)) < {K.MAX_RECORD_CHARS} AND NOT contains(json(data), '"type":"image"') AND NOT contains(json(data), 'data:image/') AND NOT EXISTS (SELECT 1 FROM message_embeddings e WHERE e.source_uuid = record_uuid)"""
+)
 def pending_code(spark: SparkSession, d: str) -> DataFrame:
-    return reuse.pending_records(load(spark, d, "claude_code_raw"), load(spark, d, "message_embeddings"))
-
+    """Pending records; of contents that are no objects or lists, whose spelling is not SQL's, the digest."""
+    p = reuse.pending_records(load(spark, d, "claude_code_raw"), load(spark, d, "message_embeddings"))
+    return p.select("source_uuid", "source_type", F.when(~F.col("content").rlike(r"^[{\[]"), F.md5("content")).alias("digest")).distinct()
 
 @query(
-    f"""WITH {_WEB}, p AS (SELECT uuid, content FROM web WHERE content IS NOT NULL AND content <> '' AND NOT EXISTS (SELECT 1 FROM message_embeddings e WHERE e.source_uuid = uuid)),
-    s AS (SELECT substr(sha256(content), 1, 32) AS h, min(uuid) AS stored FROM web WHERE content IS NOT NULL AND EXISTS (SELECT 1 FROM message_embeddings e WHERE e.source_uuid = uuid AND len(e.embedding) = 128) GROUP BY 1)
-    SELECT p.uuid AS source_uuid, s.h AS content_hash FROM p JOIN s ON s.h = substr(sha256(p.content), 1, 32)"""
+    f"""WITH {_WEB}, {_STORED}, p AS (SELECT uuid, content FROM web WHERE content IS NOT NULL AND content <> '' AND NOT EXISTS (SELECT 1 FROM message_embeddings e WHERE e.source_uuid = uuid)),
+    s AS (SELECT substr(sha256(content), 1, 32) AS h, arg_min(e.embedding, uuid) AS v FROM web JOIN stored e ON e.source_uuid = uuid WHERE content IS NOT NULL GROUP BY 1)
+    SELECT p.uuid AS source_uuid, s.h AS content_hash, round(list_sum(s.v::double[]), 4) AS total FROM p JOIN s ON s.h = substr(sha256(p.content), 1, 32)"""
 )
 def hash_reuse(spark: SparkSession, d: str) -> DataFrame:
     web, e = _web(spark, d), load(spark, d, "message_embeddings")
     vecs = _stored(spark, d).select(F.col("source_uuid").alias("uuid"), "embedding", "model")
     stored = web.filter("content is not null").join(vecs, "uuid").select(F.col("uuid").alias("source_uuid"), text.content_hash(F.col("content")).alias("content_hash"), "embedding", "model")
-    return reuse.reuse_by_hash(reuse.pending_messages(web, e, "uuid", "content", "web"), stored)[0].select("source_uuid", "content_hash")
-
+    got = reuse.reuse_by_hash(reuse.pending_messages(web, e, "uuid", "content", "web"), stored)[0]
+    return got.select("source_uuid", "content_hash", F.round(_total("embedding"), 4).alias("total"))
 
 @query(
-    f"""WITH {_STORED}, w AS (SELECT DISTINCT uuid, content FROM claude_web_messages), k AS (SELECT DISTINCT uuid, content FROM claude_code_messages)
+    f"""WITH {_STORED}, w AS (SELECT uuid, min(content) AS content FROM claude_web_messages GROUP BY 1), k AS (SELECT uuid, min(content) AS content FROM claude_code_messages GROUP BY 1)
     SELECT source_uuid, coalesce(k.content, w.content) AS content FROM stored LEFT JOIN k ON source_type = 'code' AND source_uuid = k.uuid LEFT JOIN w ON source_type = 'web' AND source_uuid = w.uuid"""
 )
 def reembed_contents(spark: SparkSession, d: str) -> DataFrame:
-    s = _stored(spark, d).select("source_uuid", "source_type")
-    side = lambda t, kind: load(spark, d, t).dropDuplicates(["uuid"]).select(F.col("uuid").alias("source_uuid"), F.lit(kind).alias("source_type"), F.col("content").alias(f"{kind}_content"))
-    on = ["source_uuid", "source_type"]
-    j = s.join(side("claude_code_messages", "code"), on, "left").join(side("claude_web_messages", "web"), on, "left")
-    return j.select("source_uuid", F.coalesce("code_content", "web_content").alias("content"))
+    return reuse.stored_contents(_stored(spark, d), load(spark, d, "claude_code_messages"), load(spark, d, "claude_web_messages"))
 
 
 # --- vectors and topics ----------------------------------------------------------------------------------------------
@@ -256,7 +268,7 @@ def _messages_with_vectors(spark: SparkSession, d: str) -> DataFrame:
     web = _web(spark, d).filter("conversation_uuid is not null and content is not null and content <> ''")
     m = web.select(F.col("conversation_uuid").alias("conversation_id"), "uuid", F.col("sender").alias("role"), "content", "created_at")
     m = m.join(_stored(spark, d).select(F.col("source_uuid").alias("uuid"), "embedding"), "uuid", "left")
-    return segment.numbered(m, "conversation_id", [F.asc_nulls_last("created_at"), F.asc("uuid")])
+    return segment.numbered(m, "conversation_id", ["created_at", "uuid"], ["uuid"])
 
 
 _PAIRS = f"""WITH {_WEB}, {_STORED}, m AS (SELECT conversation_uuid AS conversation_id, uuid, row_number() OVER w - 1 AS pos, embedding::double[] AS v, lead(embedding::double[]) OVER w AS n
@@ -285,7 +297,7 @@ def topic_chunks(spark: SparkSession, d: str) -> DataFrame:
     SELECT c AS conversation_uuid, md5(regexp_replace(string_agg(l, E'\\n\\n' ORDER BY created_at ASC NULLS LAST, uuid), '"data"\\s*:\\s*"[A-Za-z0-9+/=\\s\\\\]{{1000,}}"', '"data": "[base64 removed]"', 'g')) AS digest FROM m GROUP BY 1"""
 )
 def transcripts(spark: SparkSession, d: str) -> DataFrame:
-    web = segment.numbered(_web(spark, d).filter("conversation_uuid is not null"), "conversation_uuid", [F.asc_nulls_last("created_at"), F.asc("uuid")])
+    web = segment.numbered(_web(spark, d).filter("conversation_uuid is not null"), "conversation_uuid", ["created_at", "uuid"], ["uuid"])
     return segment.transcript(web, "conversation_uuid", "pos", "sender", "content").select("conversation_uuid", F.md5("transcript").alias("digest"))
 
 
@@ -313,15 +325,14 @@ def worker_slices(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     f"""WITH {_WEB}, k AS (SELECT DISTINCT ON (uuid) * FROM claude_code_messages), t AS (SELECT DISTINCT ON (message_id) * FROM chatgpt_messages),
-    a AS (SELECT 0 AS p, uuid, conversation_uuid AS c, sender, created_at FROM web WHERE is_canonical UNION ALL SELECT 1, uuid, conversation_id, sender, created_at FROM k UNION ALL SELECT 2, message_id, conversation_id, sender, created_at FROM t WHERE is_canonical)
-    SELECT DISTINCT ON (uuid) uuid, c AS conversation_id, CASE sender WHEN 'user' THEN 'human' ELSE sender END AS sender, created_at FROM a WHERE uuid IS NOT NULL ORDER BY uuid, p"""
+    a AS (SELECT 0 AS p, uuid, conversation_uuid AS c, sender, content, created_at, parent_message_uuid AS parent FROM web WHERE is_canonical UNION ALL SELECT 1, uuid, conversation_id, sender, content, created_at, NULL FROM k UNION ALL SELECT 2, message_id, conversation_id, sender, content, created_at, parent_id FROM t WHERE is_canonical)
+    SELECT DISTINCT ON (uuid) uuid, c AS conversation_id, CASE sender WHEN 'user' THEN 'human' ELSE sender END AS sender, md5(content) AS digest, created_at, parent AS parent_uuid FROM a WHERE uuid IS NOT NULL ORDER BY uuid, p"""
 )
 def unified_messages(spark: SparkSession, d: str) -> DataFrame:
     web = _web(spark, d).select("uuid", F.col("conversation_uuid").alias("conversation_id"), "sender", "content", "created_at", F.col("parent_message_uuid").alias("parent_uuid"), "is_canonical")
     agent = load(spark, d, "claude_code_messages").select("uuid", "conversation_id", "sender", "content", "created_at", F.lit(None).cast("string").alias("parent_uuid"))
     tr = load(spark, d, "chatgpt_messages").select(F.col("message_id").alias("uuid"), "conversation_id", "sender", "content", "created_at", F.col("parent_id").alias("parent_uuid"), "is_canonical")
-    return union.unified_messages(web, agent, tr).filter("uuid is not null").select("uuid", "conversation_id", "sender", "created_at")
-
+    return union.unified_messages(web, agent, tr).filter("uuid is not null").select("uuid", "conversation_id", "sender", F.md5("content").alias("digest"), "created_at", "parent_uuid")
 
 @query(
     """WITH a AS (SELECT 0 AS p, 'web' AS source, conversation_uuid AS conversation_id, min(created_at) AS created_at FROM claude_web_messages GROUP BY 3 UNION ALL SELECT 1, 'code', conversation_id, min(record_ts) FROM claude_code_raw GROUP BY 3
@@ -342,25 +353,37 @@ def upsert_greatest(spark: SparkSession, d: str) -> DataFrame:
     return upsert.upsert(span(0), span(1), ["user_id"], {"last_seen": upsert.GREATEST}).withColumnRenamed("_action", "action")
 
 
+_DELIVERED = """r AS (SELECT DISTINCT conversation_id, line_number, device, record_type, file_mtime, ('0x' || substr(md5(device || epoch_us(file_mtime)::varchar || coalesce(epoch_us(ingested_at), 0)::varchar || coalesce(record_type, '')), 1, 12))::bigint AS i FROM claude_code_raw),
+    c AS (SELECT conversation_id, line_number, i % 2 AS half, arg_min(device, i) AS device, arg_max(coalesce(record_type, '-'), (file_mtime, -i)) AS record_type, max(file_mtime) AS file_mtime FROM r GROUP BY ALL)"""
+
+
 @query(
-    """WITH r AS (SELECT DISTINCT conversation_id, line_number, device, file_mtime, ingested_at FROM claude_code_raw), o AS (SELECT *, row_number() OVER (ORDER BY ingested_at, device, file_mtime, conversation_id, line_number) AS i FROM r)
-    SELECT conversation_id, line_number, arg_min(device, i) AS device, max(file_mtime) AS file_mtime FROM o GROUP BY ALL"""
+    f"""WITH {_DELIVERED}, t AS (SELECT * FROM c WHERE half = 0), s AS (SELECT * FROM c WHERE half = 1)
+    SELECT coalesce(t.conversation_id, s.conversation_id) AS conversation_id, coalesce(t.line_number, s.line_number) AS line_number, coalesce(t.device, s.device) AS device, CASE WHEN t.device IS NULL OR s.file_mtime > t.file_mtime THEN s.record_type ELSE t.record_type END AS record_type,
+    greatest(t.file_mtime, s.file_mtime) AS file_mtime, CASE WHEN t.device IS NULL THEN 'insert' WHEN s.file_mtime > t.file_mtime THEN 'update' ELSE 'skip' END AS action FROM t FULL JOIN s ON t.conversation_id = s.conversation_id AND t.line_number = s.line_number"""
 )
 def upsert_guarded(spark: SparkSession, d: str) -> DataFrame:
-    """Deliveries applied in order: the device stays the first, the rest follows a later file time."""
-    r = load(spark, d, "claude_code_raw").select("conversation_id", "line_number", "device", "file_mtime", "ingested_at").distinct()
-    r = r.withColumn("i", F.unix_micros(F.col("ingested_at").cast("timestamp")))
-    first = r.groupBy("conversation_id", "line_number").agg(F.min_by("device", F.struct("i", "device", "file_mtime")).alias("device"), F.max("file_mtime").alias("file_mtime"))
-    return first
-
+    """Two batches of deliveries, each in an order made from a hash, applied one after the other: the device stays the
+    first, the rest follows a later file time."""
+    micros = lambda c: F.coalesce(F.unix_micros(F.col(c).cast("timestamp")), F.lit(0)).cast("string")
+    order = F.conv(F.substring(F.md5(F.concat("device", micros("file_mtime"), micros("ingested_at"), F.coalesce("record_type", F.lit("")))), 1, 12), 16, 10).cast("bigint")
+    r = load(spark, d, "claude_code_raw").select("conversation_id", "line_number", "device", F.coalesce("record_type", F.lit("-")).alias("record_type"), "file_mtime", order.alias("i")).distinct()
+    keys, take = ["conversation_id", "line_number"], {"record_type": upsert.TAKE, "file_mtime": upsert.TAKE}
+    batch = lambda k: upsert.collapse(r.filter(F.col("i") % 2 == k), keys, {"device": upsert.KEEP, **take}, "i", newer="file_mtime")
+    return upsert.upsert(batch(0), batch(1), keys, take, newer="file_mtime").withColumnRenamed("_action", "action")
 
 @query(
-    """WITH v AS (SELECT uuid, created_at, updated_at, row_number() OVER (PARTITION BY conversation_uuid ORDER BY uuid, updated_at) AS i, conversation_uuid AS c FROM claude_web_messages WHERE conversation_uuid IS NOT NULL AND updated_at IS NOT NULL)
-    SELECT c AS conversation_uuid, count(*) FILTER (ok) AS n_accepted FROM (SELECT c, updated_at > max(updated_at) OVER w OR max(updated_at) OVER w IS NULL AS ok FROM v WINDOW w AS (PARTITION BY c ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) GROUP BY 1"""
+    """WITH RECURSIVE v AS (SELECT conversation_uuid AS c, updated_at AS u, row_number() OVER (PARTITION BY conversation_uuid ORDER BY uuid, updated_at ASC NULLS FIRST) AS i FROM (SELECT conversation_uuid, uuid, CASE WHEN length(content) % 7 = 0 THEN NULL ELSE updated_at END AS updated_at FROM claude_web_messages) WHERE conversation_uuid IS NOT NULL),
+    s AS (SELECT c, i, u AS stored, true AS ok FROM v WHERE i = 1 UNION ALL
+      SELECT v.c, v.i, CASE WHEN v.u IS NULL OR s.stored IS NULL OR v.u > s.stored THEN v.u ELSE s.stored END, v.u IS NULL OR s.stored IS NULL OR v.u > s.stored FROM s JOIN v ON v.c = s.c AND v.i = s.i + 1)
+    SELECT c AS conversation_uuid, count(*) FILTER (ok) AS n_accepted, count(*) FILTER (NOT ok) AS n_refused FROM s GROUP BY 1"""
 )
 def accepted_versions(spark: SparkSession, d: str) -> DataFrame:
-    v = load(spark, d, "claude_web_messages").filter("conversation_uuid is not null and updated_at is not null").select("conversation_uuid", "updated_at", F.struct("uuid", "updated_at").alias("o"))
-    return upsert.accepted_versions(v, "conversation_uuid", "updated_at", "o").groupBy("conversation_uuid").agg(F.count_if("accepted").alias("n_accepted"))
+    """Versions one after the other, some without a date, against a reader that takes them in turn."""
+    seen = F.when(F.coalesce(F.length("content") % 7 != 0, F.lit(True)), F.col("updated_at"))
+    v = load(spark, d, "claude_web_messages").filter("conversation_uuid is not null").select("conversation_uuid", "uuid", seen.alias("updated_at")).withColumn("o", F.struct("uuid", "updated_at"))
+    got = upsert.accepted_versions(v, "conversation_uuid", "updated_at", "o").groupBy("conversation_uuid")
+    return got.agg(F.count_if("accepted").alias("n_accepted"), F.count_if(~F.col("accepted")).alias("n_refused"))
 
 
 _RAW = "raw AS (SELECT DISTINCT ON (record_uuid) * FROM claude_code_raw WHERE record_uuid IS NOT NULL ORDER BY record_uuid, conversation_id, line_number)"
@@ -375,12 +398,12 @@ def agent_conversations(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """SELECT DISTINCT ON (record_uuid) record_uuid AS uuid, conversation_id, session_id, CASE record_type WHEN 'user' THEN 'human' ELSE record_type END AS sender, record_ts AS created_at FROM claude_code_raw
-    WHERE record_type IN ('user', 'assistant', 'summary') AND record_uuid IS NOT NULL ORDER BY record_uuid, conversation_id, line_number"""
+    """SELECT DISTINCT ON (record_uuid) record_uuid AS uuid, conversation_id, session_id, CASE record_type WHEN 'user' THEN 'human' ELSE record_type END AS sender, record_ts AS created_at, CASE WHEN a NOT LIKE '{%' THEN md5(a) END AS digest
+    FROM (SELECT *, coalesce(data->>'$.message', data->>'$.content[0].text', data->>'$.text', '') AS a FROM claude_code_raw) WHERE record_type IN ('user', 'assistant', 'summary') AND record_uuid IS NOT NULL ORDER BY record_uuid, conversation_id, line_number"""
 )
 def agent_messages(spark: SparkSession, d: str) -> DataFrame:
-    return normalize.agent_messages(load(spark, d, "claude_code_raw")).select("uuid", "conversation_id", "session_id", "sender", "created_at")
-
+    m = normalize.agent_messages(load(spark, d, "claude_code_raw"))
+    return m.select("uuid", "conversation_id", "session_id", "sender", "created_at", F.when(~F.startswith("content", F.lit("{")), F.md5("content")).alias("digest"))
 
 @query(f"WITH {_RAW} SELECT m.uuid, raw.parent_uuid FROM (SELECT DISTINCT uuid FROM claude_code_messages) m LEFT JOIN raw ON raw.record_uuid = m.uuid")
 def agent_parents(spark: SparkSession, d: str) -> DataFrame:
@@ -388,15 +411,15 @@ def agent_parents(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """WITH r AS (SELECT DISTINCT ON (conversation_id, line_number) conversation_id, line_number, record_uuid, record_ts, coalesce(data->>'$.message', data->>'$.content', '') AS t FROM claude_code_raw
-    WHERE record_type IN ('user', 'assistant') AND (data->>'$.message' IS NOT NULL OR data->>'$.content' IS NOT NULL))
-    SELECT conversation_id, line_number, row_number() OVER (PARTITION BY conversation_id ORDER BY record_ts ASC NULLS LAST, line_number, record_uuid) - 1 AS pos FROM r WHERE regexp_matches(t, '[^\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\p{Z}]')"""
+    f"""WITH {_STORED}, r AS (SELECT DISTINCT ON (conversation_id, line_number) conversation_id, line_number, record_uuid, record_ts, coalesce(data->>'$.message', data->>'$.content', '') AS t FROM claude_code_raw
+    WHERE record_type IN ('user', 'assistant') AND (data->>'$.message' IS NOT NULL OR data->>'$.content' IS NOT NULL)),
+    q AS (SELECT *, row_number() OVER (PARTITION BY conversation_id ORDER BY record_ts ASC NULLS LAST, line_number, record_uuid) - 1 AS pos FROM r WHERE regexp_matches(t, '[^\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\p{{Z}}]'))
+    SELECT conversation_id, line_number, pos, round(list_sum(embedding::double[]), 4) AS total FROM q LEFT JOIN stored ON source_uuid = record_uuid"""
 )
 def agent_sequence(spark: SparkSession, d: str) -> DataFrame:
     raw = load(spark, d, "claude_code_raw").dropDuplicates(["conversation_id", "line_number"])
     s = topics.agent_sequence(raw, _stored(spark, d))
-    return s.select("conversation_id", "line_number", F.col("pos").cast("bigint").alias("pos"))
-
+    return s.select("conversation_id", "line_number", F.col("pos").cast("bigint").alias("pos"), F.round(_total("embedding"), 4).alias("total"))
 
 @query(
     f"""WITH {_WEB}, {_STORED} SELECT conversation_uuid AS conversation_id FROM web LEFT JOIN stored ON uuid = source_uuid WHERE conversation_uuid IS NOT NULL AND content IS NOT NULL AND content <> ''
@@ -437,14 +460,19 @@ def tree_canonical_path(spark: SparkSession, d: str) -> DataFrame:
     return p.select("conversation_id", "message_id", (F.col("i") + 1).alias("depth"))
 
 
+_MEMBER = "CASE WHEN lang IN ('pl', 'el') OR doc_id % 2 = 0 THEN 'files/' || lang || '-' || doc_id ELSE lang || '-' || doc_id END"
+
+
 @query(
-    """WITH p AS (SELECT DISTINCT source AS archive, 'file-service://' || lang AS asset_pointer, lang FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL), n AS (SELECT source AS archive, doc_id AS ordinal, lang || '-' || doc_id AS member FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL)
-    SELECT archive, asset_pointer, arg_min(member, ordinal) AS member FROM p JOIN n USING (archive) WHERE starts_with(member, lang) GROUP BY ALL"""
+    f"""WITH p AS (SELECT DISTINCT source AS archive, 'file-service://' || lang AS asset_pointer, lang FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL), n AS (SELECT source AS archive, doc_id AS ordinal, {_MEMBER} AS member FROM documents WHERE source IS NOT NULL AND lang IS NOT NULL),
+    h AS (SELECT *, CASE WHEN starts_with(member, lang) THEN 0 WHEN contains(member, '/') AND contains(member, lang) THEN 1 END AS class FROM p JOIN n USING (archive))
+    SELECT archive, asset_pointer, arg_min(member, (class, ordinal)) AS member FROM h WHERE class IS NOT NULL GROUP BY ALL"""
 )
 def asset_match(spark: SparkSession, d: str) -> DataFrame:
+    """Members that begin with the id, and others that hold it in their path."""
     docs = load(spark, d, "documents").filter("source is not null and lang is not null")
     pointers = docs.select(F.col("source").alias("archive"), F.concat(F.lit("file-service://"), "lang").alias("asset_pointer"))
-    members = docs.select(F.col("source").alias("archive"), F.col("doc_id").alias("ordinal"), F.concat_ws("-", "lang", "doc_id").alias("member"))
+    members = docs.select(F.col("source").alias("archive"), F.col("doc_id").alias("ordinal"), F.expr(_MEMBER).alias("member"))
     return tree.match_assets(pointers, members)
 
 
@@ -477,7 +505,14 @@ def embed_local(spark: SparkSession, d: str) -> DataFrame:
     return embedder.embed_pending(pending, embedder.HashingEmbedder())
 
 
-@query()
+_LINES = r"""regexp_split_to_array(t, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]')"""
+
+
+@query(
+    f"""WITH c AS (SELECT DISTINCT ON (topic_id) topic_id, CASE WHEN length(chunk_text) > {K.SUMMARY_CHARS} THEN substr(chunk_text, 1, {K.SUMMARY_CHARS}) || E'\\n{K.CUT_MARK}' ELSE coalesce(chunk_text, '') END AS t FROM conversation_topics),
+    l AS (SELECT topic_id, list_filter(list_transform({_LINES}, lambda x: regexp_replace(CASE WHEN x LIKE '[%' AND contains(x, ']: ') THEN substr(x, strpos(x, ']: ') + 3) ELSE x END, '^[\\s\\x1f\\p{{Z}}]+|[\\s\\x1f\\p{{Z}}]+$', '', 'g')), lambda x: x <> '') AS lines FROM c)
+    SELECT topic_id, coalesce(substr(lines[1], 1, 160), '') AS topic_summary FROM l"""
+)
 def topic_summaries(spark: SparkSession, d: str) -> DataFrame:
     return summarizer.summarize(load(spark, d, "conversation_topics").dropDuplicates(["topic_id"]), summarizer.FirstLine(), ["topic_id"], "chunk_text")
 

@@ -29,7 +29,7 @@ def plan(df):
 
 def test_plans_stay_in_the_jvm(spark):
     q = core_queries.queries()
-    for name in ("canonical_messages", "adjacent_similarity", "pending_web", "hash_reuse", "unified_messages", "upsert_greatest", "tree_canonical_path", "vector_mean", "chunk_text"):
+    for name in ("canonical_messages", "adjacent_similarity", "pending_web", "hash_reuse", "unified_messages", "upsert_greatest", "tree_canonical_path", "chunk_text"):
         p = plan(q[name](spark, oracle.DATA))
         assert "InPandas" not in p and "ArrowEvalPython" not in p and "BatchEvalPython" not in p, name
 
@@ -41,11 +41,16 @@ def test_anti_joins_and_scans(spark):
     assert "IsNotNull(record_uuid)" in p and "data:string" not in p
 
 
-def test_neighbours_need_one_exchange(spark):
-    from pyspark.sql import functions as F
+def test_hot_conversation_is_spread(spark):
+    """No task sorts a whole conversation: places come from ranges, and the plan has no window over the conversation alone."""
+    from chatlake.operators import canonical, segment, sequence
 
-    from chatlake.operators import segment
-
-    df = spark.createDataFrame([("c", 1, [1.0])], "conversation_id string, t int, embedding array<double>")
-    p = plan(segment.boundaries(segment.adjacent_similarity(segment.numbered(df, "conversation_id", [F.asc("t")]))))
-    assert p.count("Exchange hashpartitioning") == 1
+    df = spark.range(5000).selectExpr("'c' as conversation_id", "id as t", "cast(id as string) as uuid", "if(id % 3 = 0, 'a', 'b') as sender", "array(cast(id as double), 1.0) as embedding").repartition(4)
+    m = segment.numbered(df, "conversation_id", ["t", "uuid"], ["uuid"])
+    assert {r["t"]: r["pos"] for r in m.collect()} == {i: i for i in range(5000)}
+    p = plan(segment.boundaries(segment.adjacent_similarity(m)))
+    assert "Window" not in p or "windowspecdefinition(conversation_id" not in p.replace("#", "").split("_part")[0]
+    got = {r["t"]: r["is_canonical"] for r in canonical.mark_canonical(df.drop("embedding"), "conversation_id", "sender", "t", "uuid").collect()}
+    assert got == {i: i == 4999 or (i % 3 == 0) != ((i + 1) % 3 == 0) for i in range(5000)}
+    odd = spark.createDataFrame([(None, 1, "x"), ("g", None, "y"), ("g", 2, "z")], "g string, o int, k string")
+    assert {r["k"]: (r["pos"], r["is_last"], r["n"]) for r in sequence.placed(odd, "g", ["o", "k"], {"n": "k"}).collect()} == {"x": (None, False, None), "z": (0, False, "y"), "y": (1, True, None)}
