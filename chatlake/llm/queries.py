@@ -97,6 +97,16 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return p5_pieces(spark, d).filter("piece_no = 0").select("table_name", "item_id")
 
 
+def p5_cover(spark: SparkSession, d: str) -> DataFrame:
+    """The oversized items put together again from their pieces, and whether these keep to the limit and the overlap."""
+    lim = {k.split(".")[0]: v for k, v in _limits(spark, d).items()}
+    p = p5_pieces(spark, d).join(spark.createDataFrame([(k, *v) for k, v in lim.items()], "table_name string, most int, lap int"), "table_name")  # two rows
+    own = F.when(F.col("piece_no") == 0, F.col("text")).otherwise(F.expr("substr(text, lap + 1)"))
+    parts = p.groupBy("table_name", "item_id", "lap").agg(F.array_sort(F.collect_list(F.struct("piece_no", "start", "end", own.alias("own")))).alias("l"), F.min(F.col("end") - F.col("start") <= F.col("most")).alias("within"))
+    laps = F.forall(F.sequence(F.lit(1), F.size("l") - 1), lambda i: F.element_at("l", i)["end"] - F.element_at("l", i + 1)["start"] == F.col("lap"))
+    return parts.select("table_name", "item_id", F.md5(F.array_join(F.transform("l", lambda e: e["own"]), "")).alias("digest"), (F.col("within") & ((F.size("l") == 1) | laps)).alias("kept"))
+
+
 def p6_redacted(spark: SparkSession, d: str) -> DataFrame:
     names = load(spark, d, "name_list")
     parts = [pii.redact_people(load(spark, d, t), i, "content", names).select(F.lit(t).alias("table_name"), "*") for t, i in (("claude_web_messages", "uuid"), ("chatgpt_messages", "message_id"))]
@@ -132,7 +142,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_turns, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_turns, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p5_cover, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"
@@ -201,5 +211,14 @@ WHERE length(chunk_text) > (SELECT max_chars FROM split_limits WHERE field_name
 """
 
 
+_P5_COVER = """
+SELECT DISTINCT 'claude_web_messages' AS table_name, uuid AS item_id, md5(content) AS digest, true AS kept FROM claude_web_messages
+WHERE length(content) > (SELECT max_chars FROM split_limits WHERE field_name = 'claude_web_messages.content')
+UNION ALL
+SELECT DISTINCT 'conversation_topics', topic_id, md5(chunk_text), true FROM conversation_topics
+WHERE length(chunk_text) > (SELECT max_chars FROM split_limits WHERE field_name = 'conversation_topics.chunk_text')
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}
+    return {"p5_cover": _P5_COVER, "p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}
