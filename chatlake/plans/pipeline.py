@@ -6,37 +6,76 @@ import argparse
 import json
 import logging
 import os
-import shutil
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatlake.models import embedder as E
 from chatlake.operators import reuse, segment, stats, tree, upsert
 from chatlake.plans import normalize, topics
-from chatlake.runtime import build_session, cut
+from chatlake.runtime import build_session, cut, cut_counted
 from chatlake.sources import attachments, jsonl, zip_json
 
 log = logging.getLogger("chatlake")
 
 
 class Warehouse:
-    """Named tables in a folder. A table is a pointer to a snapshot, so a set of tables changes at once."""
+    """Named tables in a folder of any Hadoop file system. An index names the folders of each table's present snapshot, so
+    a set of tables changes at once; the snapshot before stays until the next change, for those that still read it.
+
+    A table that rows are merged into lies in BUCKETS folders by hash of its keys, and a merge reads and writes only the
+    buckets that the batch has keys for.
+    """
+
+    BUCKETS = 32
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
-        os.makedirs(root, exist_ok=True)
-        self.index = os.path.join(root, "tables.json")
+        self.spark, self.root = spark, root.rstrip("/")
+        self.index = f"{self.root}/tables.json"
+        self._fs().mkdirs(self._path(self.root))
+
+    def _path(self, at: str) -> object:
+        return self.spark._jvm.org.apache.hadoop.fs.Path(at)
 
-    def _at(self) -> dict[str, str]:
-        if not os.path.exists(self.index):
+    def _fs(self) -> object:
+        return self._path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _at(self) -> dict[str, dict]:
+        """name -> keys, paths by bucket, and the folders of the snapshot before."""
+        if not self._fs().exists(self._path(self.index)):
             return {}
-        with open(self.index) as f:
-            return json.load(f)
+        lines = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils
+        stream = self._fs().open(self._path(self.index))
+        try:
+            return json.loads(lines.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
+    def _publish(self, tables: dict[str, dict]) -> None:
+        """Replace the index by one rename, and drop what only the snapshot before the last one used."""
+        old = self._at()
+        for n, t in tables.items():
+            t["before"] = sorted(set(old.get(n, {}).get("paths", {}).values()) - set(t["paths"].values()))
+        part = f"{self.index}.{uuid.uuid4().hex}"
+        out = self._fs().create(self._path(part))
+        out.write(bytearray(json.dumps(old | tables).encode()))
+        out.close()
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        how = self.spark.sparkContext._gateway.new_array(self.spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        how[0] = fs.Options.Rename.OVERWRITE
+        fs.FileContext.getFileContext(self._path(self.root).toUri() if "://" in self.root else self.spark._jvm.java.net.URI("file:///"), self.spark._jsc.hadoopConfiguration()).rename(self._path(part), self._path(self.index), how)
+        used = {p for t in (old | tables).values() for p in [*t["paths"].values(), *t.get("before", [])]}
+        for n in tables:
+            for p in old.get(n, {}).get("before", []):
+                if p not in used:
+                    self._fs().delete(self._path(p), True)
+                folder = p.rsplit("/", 1)[0]
+                if "/_bucket=" in p and not any(u.startswith(folder + "/") for u in used):
+                    self._fs().delete(self._path(folder), True)
 
     def has(self, name: str) -> bool:
         return name in self._at()
@@ -47,37 +86,46 @@ class Warehouse:
             raise LookupError(f"missing tables: {', '.join(missing)}")
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self._at()[name])
+        return self.spark.read.parquet(*sorted(self._at()[name]["paths"].values()))
 
     def swap(self, tables: dict[str, DataFrame]) -> None:
         """Write snapshots of all the tables, then publish them with one rename. A failure leaves the old ones."""
-        old = self._at()
-        new = {n: os.path.join(self.root, f"{n}-{uuid.uuid4().hex}") for n in tables}
+        new = {n: f"{self.root}/{n}-{uuid.uuid4().hex}" for n in tables}
         try:
             for n, df in tables.items():
                 df.write.parquet(new[n])
         except BaseException:
             for p in new.values():
-                shutil.rmtree(p, ignore_errors=True)
+                self._fs().delete(self._path(p), True)
             raise
-        part = f"{self.index}.{uuid.uuid4().hex}"
-        with open(part, "w") as f:
-            json.dump(old | new, f)
-        os.replace(part, self.index)
-        for n in new:
-            if n in old:
-                shutil.rmtree(old[n], ignore_errors=True)
+        self._publish({n: {"keys": [], "paths": {"all": p}} for n, p in new.items()})
 
     def merge(self, name: str, new: DataFrame, keys: list[str], rules: dict[str, str], newer: str | None = None, insert_only: bool = False) -> dict[str, int]:
-        """Upsert into a table; counts by action."""
-        if not self.has(name):
-            self.swap({name: new})
-            return {"insert": self.read(name).count()}
-        merged = upsert.upsert(self.read(name), new, keys, rules, newer, insert_only).cache()
-        counts = {r["action"]: r["n"] for r in upsert.action_counts(merged).collect()}
-        self.swap({name: merged.drop("_action")})
-        merged.unpersist()
-        return counts
+        """Upsert into a table; the numbers of rows of `new` that were inserted, updated or skipped, without zeros."""
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(self.BUCKETS)).cast("int")
+        batch, n = cut_counted(new, F.lit(True), "batch")  # it may depend on the table itself
+        old = self._at().get(name)
+        if old is None:
+            if not n:
+                self.swap({name: batch})
+                return {}
+            old = {"keys": keys, "paths": {}}
+        if not n:
+            return {}
+        touched = {str(r[0]) for r in batch.select(bucket).distinct().collect()}  # at most BUCKETS
+        whole = old["keys"] != keys  # not in buckets yet
+        mine = [p for k, p in old["paths"].items() if whole or k in touched]
+        merged = upsert.upsert(self.spark.read.parquet(*mine) if mine else batch.limit(0), batch, keys, rules, newer, insert_only)
+        seen = Observation()
+        merged = merged.observe(seen, F.count_if(F.col("_action") == "insert").alias("insert"), F.count_if(F.col("_action") == "update").alias("update"))
+        at = f"{self.root}/{name}-{uuid.uuid4().hex}"
+        merged.withColumn("_bucket", bucket).drop("_action").repartition("_bucket").write.partitionBy("_bucket").parquet(at)
+        made = {str(f.getPath().getName()).removeprefix("_bucket="): str(f.getPath()) for f in self._fs().listStatus(self._path(at)) if f.isDirectory()}
+        kept = {} if whole else {k: p for k, p in old["paths"].items() if k not in touched}
+        self._publish({name: {"keys": keys, "paths": kept | made}})
+        counts = {k: seen.get[k] or 0 for k in ("insert", "update")}
+        counts["skip"] = n - sum(counts.values())
+        return {k: v for k, v in counts.items() if v}
 
 
 def ingest_logs(w: Warehouse, base: str, limit: int | None = None) -> dict[str, int]:
@@ -110,7 +158,8 @@ def ingest_web(w: Warehouse, paths: list[str]) -> dict[str, int]:
         versions = versions.withColumn("stored", F.lit(False)).unionByName(stored, allowMissingColumns=True)
     else:
         versions = versions.withColumn("stored", F.lit(False))
-    ok = upsert.accepted_versions(versions, "conversation_id", "updated_at", "o").filter("accepted and not stored").drop("accepted", "stored")
+    every = cut(upsert.accepted_versions(versions, "conversation_id", "updated_at", "o").filter("not stored").drop("stored"), "versions")
+    ok = every.filter("accepted").drop("accepted")
     keep, take = ["account_id", "account_email", "created_at"], ["name", "updated_at", "data", "source_file"]
     raw = upsert.collapse(ok, ["conversation_id"], dict.fromkeys(keep, upsert.KEEP) | dict.fromkeys(take, upsert.TAKE), "o")
     messages = zip_json.web_messages(ok).withColumn("o", F.struct("file_ordinal", "i"))
@@ -119,7 +168,8 @@ def ingest_web(w: Warehouse, paths: list[str]) -> dict[str, int]:
     raw, msgs = cut(raw, "raw"), cut(msgs, "msgs")  # both depend on the stored versions, which the first merge replaces
     counts = w.merge("web_raw", raw, ["conversation_id"], dict.fromkeys(take, upsert.TAKE))
     said = w.merge("web_messages", msgs, ["uuid"], dict.fromkeys(mtake, upsert.TAKE))
-    return counts | {f"messages_{k}": v for k, v in said.items()} | _failures(errors, bad)
+    refused = every.filter("not accepted").count()
+    return counts | ({"skip": refused} if refused else {}) | {f"messages_{k}": v for k, v in said.items()} | _failures(errors, bad)
 
 
 def _failures(errors: DataFrame, bad: DataFrame | None = None) -> dict[str, object]:
@@ -148,12 +198,10 @@ def ingest_tree(w: Warehouse, paths: list[str], attachment_root: str | None = No
     keep, take = ["conversation_id", "parent_id", "sender", "content_type", "created_at"], ["content", "is_canonical"]
     msgs = upsert.collapse(nodes.filter("accepted"), ["message_id"], dict.fromkeys(keep, upsert.KEEP) | dict.fromkeys(take, upsert.TAKE), "o")
     raw, msgs = cut(raw, "raw"), cut(msgs, "msgs")
-    seen = every.agg(F.countDistinct("conversation_id").alias("n"), F.count_if(~F.col("accepted")).alias("skip")).first()
+    refused = every.filter("not accepted").count()
     counts = w.merge("tree_raw", raw.withColumnRenamed("raw", "data"), ["conversation_id"], dict.fromkeys(["title", "updated_at", "data", "archive"], upsert.TAKE))
-    counts.pop("skip", None)  # conversations that this batch does not touch
     said = w.merge("tree_messages", msgs, ["message_id"], dict.fromkeys(take, upsert.TAKE))
-    said.pop("skip", None)
-    out = counts | ({"skip": seen["skip"]} if seen["skip"] else {}) | {f"messages_{k}": v for k, v in said.items()}
+    out = counts | ({"skip": refused} if refused else {}) | {f"messages_{k}": v for k, v in said.items()}
     if attachment_root:
         assets = nodes.filter("size(assets) > 0")
         pointers = assets.select("archive", "conversation_id", F.explode("assets").alias("a")).select("archive", "conversation_id", "a.asset_pointer")
@@ -165,7 +213,7 @@ def ingest_tree(w: Warehouse, paths: list[str], attachment_root: str | None = No
         first = dict.fromkeys([c for c in rows.columns if c not in (*key, "file_path", "file_hash")], upsert.KEEP)
         rows = upsert.collapse(rows.withColumn("o", F.struct("created_at", "message_id", "asset_pointer")), key, first | dict.fromkeys(["file_path", "file_hash"], upsert.TAKE), "o")
         got = w.merge("attachments", cut(rows, "attachments"), key, dict.fromkeys(["file_path", "file_hash"], upsert.TAKE))
-        out["attachments"] = sum(v for k, v in got.items() if k != "skip")
+        out["attachments"] = sum(got.values())
     return out | _failures(errors)
 
 

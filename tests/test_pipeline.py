@@ -172,6 +172,27 @@ def test_limit_of_changed_conversations(spark, world):
     assert sizes == [1, 2, 3, 3]
 
 
+def test_merges_touch_only_their_buckets(spark, tmp_path):
+    from chatlake.operators import upsert
+
+    w = P.Warehouse(spark, str(tmp_path / "wh"))
+    rows = spark.range(400).selectExpr("cast(id as string) k", "id v")
+    assert w.merge("t", rows, ["k"], {"v": upsert.TAKE}) == {"insert": 400}
+    before = dict(w._at()["t"]["paths"])
+    first = w.read("t")
+    assert len(before) == w.BUCKETS
+    assert w.merge("t", spark.createDataFrame([("7", 70), ("7x", 1), ("8", 8)], "k string, v bigint"), ["k"], {"v": upsert.TAKE}, newer="v") == {"insert": 1, "update": 1, "skip": 1}
+    after = w._at()["t"]["paths"]
+    assert 1 <= sum(before[k] != after[k] for k in before) <= 3
+    assert first.count() == 400  # the snapshot before can still be read
+    assert w.read("t").count() == 401 and w.read("t").filter("k = '7'").first()["v"] == 70
+    w.swap({"t": w.read("t").filter("v < 10")})
+    assert w.merge("t", rows.limit(0), ["k"], {}) == {} and w.merge("t", rows.filter("v = 3"), ["k"], {"v": upsert.TAKE}) == {"update": 1}
+    w.merge("t", rows.filter("v = 3"), ["k"], {"v": upsert.TAKE}, newer="v")
+    on_disk = {p for p in os.listdir(tmp_path / "wh") if p.startswith("t-")}
+    assert len(on_disk) <= 3
+
+
 def test_stages():
     def bad():
         raise ValueError("x")
