@@ -274,6 +274,7 @@ def run_topics(w: Warehouse, model: E.Embedder | None = None, limit: int | None
 
 def run_reembed_messages(w: Warehouse, model: E.Embedder | None = None, worker: int | None = None, workers: int = 1) -> int:
     """New vectors for stored messages from their texts, all or those of one worker; the number of stored rows."""
+    w.require("message_embeddings")
     stored = w.read("message_embeddings")
     mine = stored.select("source_uuid", "source_type")
     if worker is not None:
@@ -284,9 +285,13 @@ def run_reembed_messages(w: Warehouse, model: E.Embedder | None = None, worker:
 
 
 def run_reembed_topics(w: Warehouse, model: E.Embedder | None = None) -> int:
-    """New vectors for topics from their summaries; topics without a summary keep theirs."""
-    t = w.read("topics")
-    w.swap({"topics": topics.reembed_topics(t, model or E.HashingEmbedder())})
+    """New vectors for topics from their summaries. Topics without a summary keep theirs, unless the model gives vectors
+    of another width than is stored: then the column is emptied first, as for a schema of another width."""
+    w.require("topics")
+    model, t = model or E.HashingEmbedder(), w.read("topics")
+    if not t.filter(F.size("embedding") != model.dims).isEmpty():
+        t = topics.widen_vectors(t)
+    w.swap({"topics": topics.reembed_topics(t, model)})
     return w.read("topics").count()
 
 

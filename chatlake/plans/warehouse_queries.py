@@ -310,6 +310,24 @@ def eligible_conversations(spark: SparkSession, d: str) -> DataFrame:
     return segment.eligible_conversations(web, load(spark, d, "message_embeddings"), load(spark, d, "conversation_topics"), "conversation_uuid", "uuid")
 
 
+@query(
+    """SELECT r.conversation_id, count(*) AS n_embedded FROM (SELECT DISTINCT ON (conversation_id, line_number) * FROM claude_code_raw) r WHERE record_type IN ('user', 'assistant') AND (data->>'$.message' IS NOT NULL OR data->>'$.content' IS NOT NULL) AND coalesce(data->>'$.message', data->>'$.content', '') <> ''
+    AND EXISTS (SELECT 1 FROM message_embeddings e WHERE e.source_uuid = record_uuid) AND NOT EXISTS (SELECT 1 FROM conversation_topics t WHERE t.conversation_id = r.conversation_id) GROUP BY 1 HAVING count(*) >= 3"""
+)
+def eligible_agent_conversations(spark: SparkSession, d: str) -> DataFrame:
+    raw = load(spark, d, "claude_code_raw").dropDuplicates(["conversation_id", "line_number"])
+    return segment.eligible_conversations(topics.agent_messages_with_text(raw), load(spark, d, "message_embeddings"), load(spark, d, "conversation_topics"), "conversation_id", "record_uuid")
+
+
+@query(
+    """SELECT DISTINCT ON (topic_id) topic_id, CASE WHEN regexp_matches(topic_summary, '[^\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\p{Z}]') THEN 'hashing-16' ELSE model END AS model, CASE WHEN regexp_matches(topic_summary, '[^\\s\\x0b\\x1c-\\x1f\\x85\\xa0\\p{Z}]') THEN 16 ELSE len(embedding) END AS dims FROM conversation_topics"""
+)
+def topics_reembedded(spark: SparkSession, d: str) -> DataFrame:
+    """Topics with vectors of their summaries; those without one keep theirs."""
+    t = topics.reembed_topics(load(spark, d, "conversation_topics").dropDuplicates(["topic_id"]), embedder.HashingEmbedder(16))
+    return t.select("topic_id", "model", F.when(F.col("embedding").isNotNull(), F.size("embedding")).cast("bigint").alias("dims"))
+
+
 @query("SELECT conversation_id, count(*) AS n FROM claude_code_messages WHERE conversation_id IS NOT NULL GROUP BY 1 ORDER BY n DESC, conversation_id LIMIT 50")
 def largest_conversations(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "claude_code_messages").filter("conversation_id is not null").groupBy("conversation_id").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "conversation_id").limit(50)

@@ -114,7 +114,7 @@ def test_reembedding(spark, world):
     half = [P.run_reembed_messages(w, HashingEmbedder(64), k, 2) for k in (0, 1)]
     assert half == [n, n] and {(r["model"], len(r["embedding"])) for r in w.read("message_embeddings").collect()} == {("hashing-64", 64)}
     P.run_reembed_topics(w, HashingEmbedder(32))
-    assert all(len(r["embedding"]) == (32 if r["topic_summary"] else 128) for r in w.read("topics").collect())
+    assert all((len(r["embedding"]) == 32 if r["topic_summary"] else r["embedding"] is None) for r in w.read("topics").collect())
     parts = [w.read("web_messages").select("uuid").transform(lambda d, k=k: P.segment.hash_slice(d, "uuid", k, 3)).count() for k in range(3)]
     assert sum(parts) == 3
 
@@ -222,3 +222,53 @@ def test_streams(spark, tmp_path):
     assert {r["source_uuid"] for r in wh.read("message_embeddings").collect()} == {"u1", "u2"}
     left = [3, 0]
     assert S.until_done(lambda: left.pop(0)) == 1
+
+
+def test_remote_model(tmp_path, monkeypatch):
+    import http.server
+    import threading
+
+    from chatlake.models import embedder as E
+    from chatlake.models import remote as R
+
+    calls = []
+
+    class Service(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):
+            got = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            calls.append((self.headers["Authorization"], len(got["input"])))
+            code, out = (400, {"error": "maximum context length"}) if sum(map(len, got["input"])) > 7000 else (503, {}) if len(calls) == 1 else (200, {"data": [{"index": i, "embedding": [float(len(t)), 1.0]} for i, t in reversed(list(enumerate(got["input"])))]})
+            self.send_response(code)
+            self.end_headers()
+            self.wfile.write(json.dumps(out).encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = http.server.HTTPServer(("127.0.0.1", 0), Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    put(str(tmp_path / "key"), "k1\n")
+    m = R.HttpEmbedder(f"http://127.0.0.1:{server.server_port}/", "m", 2, (str(tmp_path / "none"), str(tmp_path / "key")))
+    assert E.embed_halving(m, ["ab", "c" * 9000, "d"]) == [[2.0, 1.0], [(6000 + 3300) / 2, 1.0], [1.0, 1.0]]
+    assert {a for a, _ in calls} == {"Bearer k1"}
+    monkeypatch.setenv("SOME_KEY", "k2")
+    assert R.find_key([], "SOME_KEY") == "k2"
+    with pytest.raises(LookupError):
+        R.find_key([str(tmp_path / "none")], "NO_SUCH_KEY")
+    server.shutdown()
+
+
+def test_jdbc(spark, tmp_path):
+    from chatlake.sources import jdbc
+
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    df = spark.range(50).selectExpr("id", "cast(id * 2 as string) as v")
+    opts = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "createTableColumnTypes": "v varchar(20)"}
+    jdbc.write_table(df, url, "t", mode="overwrite", **opts)
+    jdbc.write_table(df.filter("id < 3"), url, "t", **opts)
+    read = {"driver": opts["driver"]}
+    assert jdbc.read_table(spark, url, "t", **read).count() == 53
+    parts = jdbc.read_table(spark, url, "t", "id", "0", "50", 4, **read)
+    assert parts.rdd.getNumPartitions() == 4 and parts.filter("id >= 48").count() == 2
+    jdbc.write_table(df.filter("id = 1"), url, "t", mode="overwrite", **opts)
+    assert [r["v"] for r in jdbc.read_table(spark, url, "t", **read).collect()] == ["2"]
