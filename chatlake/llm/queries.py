@@ -121,6 +121,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_column(load(spark, d, "documents"), "doc_id", "text")
 
 
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Digests of the texts that the ids decode to."""
+    return tokens.decode_column(p8_ids(spark, d), "doc_id", "ids").select("doc_id", F.md5("text").alias("digest"))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(load(spark, d, "documents"), load(spark, d, "mix_targets"))[0]
 
@@ -142,7 +147,7 @@ def p10_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_turns, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p5_cover, p6_found, p6_redacted, p8_ids, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
+    return {f.__name__: f for f in (p1_found, p1_turns, p1_conversations, p2_found, p2_redacted, p3_found, p3_groups, p4_found, p4_neighbours, p5_found, p5_pieces, p5_cover, p6_found, p6_redacted, p8_ids, p8_decoded, p9_mix, p9_shares, p9_shard_shares, p10_found, p10_restored)}
 
 
 _BLANK = r"regexp_matches({0}, '[^\s\x0b\x1c-\x1f\x85\xa0\p{{Z}}]')"
@@ -221,4 +226,4 @@ WHERE length(chunk_text) > (SELECT max_chars FROM split_limits WHERE field_name
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p5_cover": _P5_COVER, "p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}
+    return {"p8_decoded": "SELECT doc_id, md5(text) AS digest FROM documents", "p5_cover": _P5_COVER, "p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}

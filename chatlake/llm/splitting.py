@@ -5,7 +5,8 @@ the words of the block before and of the block after are compared by cosine; a v
 topic, and its depth is the height of the lower of the two peaks beside it. A piece begins where the last one ended less
 the overlap. Among the gaps in the second half of its window, or in the first half where the second has none, the deepest
 valley is taken, paragraph ends before line ends before sentence ends before words where depths are equal; the last of
-equals wins. A stretch without any gap is cut at the limit, but not within a surrogate pair (Python strings have none) or before a combining mark.
+equals wins. A stretch without any gap is cut at the limit, but not within a surrogate pair (Python strings have none) or before a sign
+that belongs to the one before it (combining marks, joiners, variation selectors, skin tones, halves of flags).
 
 The pieces of an item cover it: piece k+1 starts exactly `overlap` characters before the end of piece k, none is longer
 than the limit, and dropping the overlaps gives the text back. Lengths are in code points. Texts within the limit, null
@@ -87,6 +88,20 @@ def valley_depths(text: str, gaps: list[tuple[int, int]]) -> list[float]:
     return [min(left[i], right[i]) - sims[i] for i in range(n)]
 
 
+def _joined(text: str, at: int) -> bool:
+    """Whether the sign at a position belongs to the one before: combining marks, joiners, selectors, skin tones, and the
+    second of two regional signs."""
+    c, before = text[at], text[at - 1]
+    if unicodedata.combining(c) or unicodedata.category(c) in ("Mn", "Me") or c in "\u200c\u200d" or before == "\u200d" or "\U0001f3fb" <= c <= "\U0001f3ff" or "\U000e0020" <= c <= "\U000e007f":
+        return True
+    if not "\U0001f1e6" <= c <= "\U0001f1ff":
+        return False
+    n = at
+    while n and "\U0001f1e6" <= text[n - 1] <= "\U0001f1ff" and at - n < 64:
+        n -= 1
+    return (at - n) % 2 == 1
+
+
 def split_text(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     """(start, end) of each piece."""
     if not 0 <= 2 * overlap < limit:
@@ -111,7 +126,7 @@ def split_text(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
                 i -= 1
         best = max(((rank > 0, round(d, 6), rank, p) for p, rank, d in marks[i:j]), default=None)
         end = best[-1] if best else high
-        while not best and end > low and unicodedata.combining(text[end]):
+        while not best and end > low and _joined(text, end):
             end -= 1
         out.append((start, end))
         start = end - overlap

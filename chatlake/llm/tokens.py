@@ -19,6 +19,7 @@ from heapq import heapify, heappop, heappush
 
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,9 +102,9 @@ class Bpe:
 
 
 def load_bpe(path: str) -> Bpe:
-    """The vocabulary of a rank file; read once per Python worker."""
+    """The vocabulary of a rank file; read once per Python worker, from what came with the job where it is not there."""
     if path not in _loaded:
-        _loaded[path] = Bpe(path)
+        _loaded[path] = Bpe(path if os.path.exists(path) else SparkFiles.get(os.path.basename(path)))
     return _loaded[path]
 
 
@@ -111,9 +112,16 @@ def rank_file(name: str, tokenizer_dir: str | None = None) -> str:
     return os.path.join(tokenizer_dir or TOKENIZER_DIR, f"{name}.tiktoken")
 
 
+def _ship(df: DataFrame, path: str) -> None:
+    """Let the file travel with the job, for executors that do not have it at its path."""
+    if os.path.exists(path):
+        df.sparkSession.sparkContext.addFile(path)
+
+
 def encode_column(df: DataFrame, id_col: str, text_col: str, name: str = "byte_bpe_50k", tokenizer_dir: str | None = None, ids_col: str = "ids") -> DataFrame:
     """(id, ids): one row per row of `df`, in any order. Only the two columns are read."""
     path = rank_file(name, tokenizer_dir)
+    _ship(df, path)
     src = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -131,6 +139,7 @@ def encode_column(df: DataFrame, id_col: str, text_col: str, name: str = "byte_b
 def decode_column(df: DataFrame, id_col: str, ids_col: str, name: str = "byte_bpe_50k", tokenizer_dir: str | None = None) -> DataFrame:
     """(id, text): the inverse of `encode_column`. Null ids give null."""
     path = rank_file(name, tokenizer_dir)
+    _ship(df, path)
     src = df.select(F.col(id_col).alias("id"), F.col(ids_col).cast("array<int>").alias("ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -284,6 +284,13 @@ def test_pieces_cover():
         S.split_text("a", 10, 5)
 
 
+def test_signs_are_not_torn():
+    for unit in ("👩‍👩‍👧‍👦", "e\u0301\u0302", "👍🏽", "🇫🇷", "❤️"):
+        t = unit * 60
+        for s, e in S.split_text(t, 50, 0):
+            assert t[s:e].startswith(unit[0]) and (e == len(t) or not S._joined(t, e)), (unit, s, e)
+
+
 def test_pieces_at_topic_change():
     a = "The parser reads tokens and the parser builds trees. " * 6
     b = "Sailing boats cross the bay while gulls follow the boats. " * 6
