@@ -216,6 +216,18 @@ WHERE length(chunk_text) > (SELECT max_chars FROM split_limits WHERE field_name
 """
 
 
+_P3 = r"""
+WITH w AS (SELECT DISTINCT ON (uuid) uuid AS id, content AS c FROM claude_web_messages WHERE uuid IS NOT NULL AND regexp_matches(content, '[\p{L}\p{N}]')),
+k AS (SELECT *, regexp_matches(c, '^[\s\p{Z}\x{FEFF}]*\{') AND json_valid(c) AND coalesce(json_type(CASE WHEN json_valid(c) THEN c END) = 'OBJECT', false) AS o FROM w),
+t AS (SELECT id, 't' || lower(regexp_replace(upper(c), '[^\p{L}\p{N}]+', '', 'g')) AS canon FROM k WHERE NOT o),
+j AS (SELECT k.id, lower(regexp_replace(upper(e.fullkey), '[^\p{L}\p{N}\[\].$]+', '', 'g')) || '=' || CASE WHEN e.type IN ('OBJECT', 'ARRAY') THEN e.type ELSE lower(regexp_replace(upper(e.atom->>'$'), '[^\p{L}\p{N}]+', '', 'g')) END AS leaf
+  FROM k, json_tree(k.c) e WHERE o),
+g AS (SELECT id, 'o' || string_agg(coalesce(leaf, '-'), '|' ORDER BY leaf) AS canon FROM j GROUP BY id),
+m AS (SELECT DISTINCT source_uuid AS id, lower(regexp_replace(content_hash, '[\s\p{P}\p{S}\p{C}\p{Z}]+', '', 'g')) AS canon FROM message_embeddings WHERE source_uuid IS NOT NULL),
+a AS (SELECT 'claude_web_messages' AS table_name, * FROM (SELECT * FROM t UNION ALL SELECT * FROM g) UNION ALL SELECT 'message_embeddings', * FROM m WHERE canon <> '')"""
+_P3_FOUND = f"{_P3}, f AS (SELECT *, min(id) OVER (PARTITION BY table_name, canon) AS id_keep FROM a) SELECT DISTINCT table_name, id_keep, id AS id_copy FROM f WHERE id <> id_keep"
+_P3_GROUPS = f"{_P3} SELECT table_name, min(id) AS id_keep, count(*) AS n_copies FROM a GROUP BY table_name, canon"
+
 _P5_COVER = """
 SELECT DISTINCT 'claude_web_messages' AS table_name, uuid AS item_id, md5(content) AS digest, true AS kept FROM claude_web_messages
 WHERE length(content) > (SELECT max_chars FROM split_limits WHERE field_name = 'claude_web_messages.content')
@@ -226,4 +238,4 @@ WHERE length(chunk_text) > (SELECT max_chars FROM split_limits WHERE field_name
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p8_decoded": "SELECT doc_id, md5(text) AS digest FROM documents", "p5_cover": _P5_COVER, "p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}
+    return {"p3_found": _P3_FOUND, "p3_groups": _P3_GROUPS, "p8_decoded": "SELECT doc_id, md5(text) AS digest FROM documents", "p5_cover": _P5_COVER, "p1_found": _P1, "p1_turns": _P1_TURNS.replace("{more}", ""), "p1_conversations": _P1_TURNS.replace("{more}", ", content"), "p5_found": _P5}
