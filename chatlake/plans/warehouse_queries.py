@@ -287,9 +287,31 @@ def topic_boundaries(spark: SparkSession, d: str) -> DataFrame:
     return segment.boundaries(segment.adjacent_similarity(_messages_with_vectors(spark, d))).filter("is_boundary").select("conversation_id", "uuid")
 
 
-@query()
+_STRIP = r"""regexp_replace({0}, '"data"\s*:\s*"[A-Za-z0-9+/=\s\\]{{1000,}}"', '"data": "[base64 removed]"', 'g')"""
+
+
+@query(
+    f"""WITH RECURSIVE {_WEB}, {_STORED},
+    m AS (SELECT conversation_uuid AS c, uuid, content, row_number() OVER w - 1 AS pos, embedding::double[] AS v, lead(embedding::double[]) OVER w AS n, '[' || CASE WHEN coalesce(sender, '') = '' THEN 'MSG' ELSE upper(sender) END || ']: ' || content AS line
+      FROM web LEFT JOIN stored ON uuid = source_uuid WHERE conversation_uuid IS NOT NULL AND content IS NOT NULL AND content <> '' WINDOW w AS (PARTITION BY conversation_uuid ORDER BY created_at ASC NULLS LAST, uuid)),
+    s AS (SELECT *, CASE WHEN list_dot_product(v, v) > 0 AND list_dot_product(n, n) > 0 THEN list_cosine_similarity(v, n) END AS sim FROM m WHERE c IN (SELECT c FROM m GROUP BY 1 HAVING count(*) >= {K.MIN_CHUNK_MESSAGES} AND 2 * count(v) >= count(*))),
+    sums AS (SELECT c, pos, sum(length(content)) OVER w AS r, sum(length({_STRIP.format("line")})) OVER w AS l, coalesce(sim < {K.SIMILARITY_THRESHOLD}, false) AS b FROM s WINDOW w AS (PARTITION BY c ORDER BY pos)),
+    a AS (SELECT c, [0] || list(r::bigint ORDER BY pos) AS r, [0] || list(l::bigint ORDER BY pos) AS l, list_reverse(list_sort(list_distinct(coalesce(list(pos) FILTER (b), []) || [max(pos)]))) AS todo FROM sums GROUP BY 1),
+    step AS (SELECT c, r, l, todo, 0::bigint AS first, NULL::bigint AS a, NULL::bigint AS b FROM a
+      UNION ALL
+      SELECT c, r, l, CASE WHEN halve THEN list_append(todo, first + size // 2 - 1) ELSE todo[1:len(todo) - 1] END, CASE WHEN joins OR halve THEN first ELSE last + 1 END, CASE WHEN NOT joins AND NOT halve THEN first END, CASE WHEN NOT joins AND NOT halve THEN last END
+      FROM (SELECT *, NOT joins AND size >= {2 * K.MIN_CHUNK_MESSAGES} AND (size > {K.MAX_CHUNK_MESSAGES} OR l[last + 2] - l[first + 1] + 2 * (size - 1) > {K.MAX_CHUNK_CHARS}) AS halve
+        FROM (SELECT *, size < {K.MIN_CHUNK_MESSAGES} AND len(todo) > 1 AND coalesce(r[far + 2] - r[first + 1] <= {K.MAX_CHUNK_CHARS} OR far - first + 1 >= {2 * K.MIN_CHUNK_MESSAGES}, false) AS joins
+          FROM (SELECT *, todo[len(todo)] AS last, todo[len(todo) - 1] AS far, todo[len(todo)] - first + 1 AS size FROM step WHERE len(todo) > 0)))),
+    k AS (SELECT c, a, b FROM step WHERE a IS NOT NULL),
+    p AS (SELECT k.c, k.a, avg(CASE WHEN list_dot_product(x.v, x.v) > 0 AND list_dot_product(y.v, y.v) > 0 THEN list_cosine_similarity(x.v, y.v) ELSE 0 END) AS co FROM k JOIN s x ON x.c = k.c AND x.pos BETWEEN k.a AND k.b JOIN s y ON y.c = k.c AND y.pos BETWEEN x.pos + 1 AND k.b WHERE x.v IS NOT NULL AND y.v IS NOT NULL GROUP BY ALL)
+    SELECT k.c AS conversation_id, k.a AS start_msg_idx, k.b AS end_msg_idx, arg_min(s.uuid, pos) AS start_msg_uuid, arg_max(s.uuid, pos) AS end_msg_uuid, count(*) AS message_count, md5({_STRIP.format("string_agg(line, E'\n\n' ORDER BY pos)")}) AS digest, round(any_value(co), 5) AS avg_internal_sim, round(max(sim) FILTER (pos = k.b), 5) AS boundary_sim
+    FROM k JOIN s ON s.c = k.c AND s.pos BETWEEN k.a AND k.b LEFT JOIN p ON p.c = k.c AND p.a = k.a GROUP BY k.c, k.a, k.b"""
+)
 def topic_chunks(spark: SparkSession, d: str) -> DataFrame:
-    return segment.segment(_messages_with_vectors(spark, d))
+    t = segment.segment(_messages_with_vectors(spark, d))
+    whole = [F.col(c).cast("bigint").alias(c) for c in ("start_msg_idx", "end_msg_idx", "message_count")]
+    return t.select("conversation_id", *whole, "start_msg_uuid", "end_msg_uuid", F.md5("chunk_text").alias("digest"), F.round("avg_internal_sim", 5).alias("avg_internal_sim"), F.round("boundary_sim", 5).alias("boundary_sim"))
 
 
 @query(
