@@ -110,11 +110,6 @@ def basename(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)/*$", 1)
 
 
-def attachment_path(conv: Column, sha: Column, name: Column) -> Column:
-    """Where an attachment is kept: conversation prefix, hash prefix and base name."""
-    return F.concat(F.substring(conv, 1, 8), F.lit("/"), F.substring(sha, 1, 8), F.lit("_"), basename(name))
-
-
 def display_name(name: Column, summary: Column) -> Column:
     empty = F.lit("")
     return F.coalesce(F.nullif(name, empty), F.nullif(summary, empty), F.lit("Untitled"))

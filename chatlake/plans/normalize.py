@@ -42,6 +42,10 @@ def agent_conversations(raw: DataFrame) -> DataFrame:
     return per.groupBy("conversation_id").agg(first.alias("f"), F.min("a").alias("created_at"), F.max("b").alias("updated_at")).select("conversation_id", "f.device", "f.project_path", "created_at", "updated_at")
 
 
+def merge_agent_conversations(stored: DataFrame, new: DataFrame) -> DataFrame:
+    return upsert.upsert(stored, new, ["conversation_id"], {"updated_at": upsert.GREATEST})
+
+
 def agent_messages(raw: DataFrame) -> DataFrame:
     """(uuid, conversation_id, session_id, sender, content, created_at, record_type): user, assistant and summary records
     with an id, each id once, by (conversation_id, line_number)."""

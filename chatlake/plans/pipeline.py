@@ -231,11 +231,14 @@ TOPICS = "topic_id string, conversation_id string, source_type string, start_msg
 
 
 def run_normalize(w: Warehouse, mode: str = normalize.SNAPSHOT) -> dict[str, int]:
-    """All per-source and unified tables; published at once."""
+    """All per-source and unified tables; published at once. Accounts and conversations that are there keep what the rules
+    keep (first dates, devices) and take the later of the last dates."""
     raw, web_raw = _empty(w, "agent_raw", RAW), _empty(w, "web_raw", WEB_RAW)
     web = normalize.canonical_web(_empty(w, "web_messages", WEB))
+    merged = lambda n, new, rule: rule(w.read(n), new).drop("_action") if w.has(n) else new
     t = {
-        "web_accounts": normalize.web_accounts(web_raw), "web_conversations": normalize.web_conversations(web_raw), "web_messages": web, "agent_conversations": normalize.agent_conversations(raw), "agent_messages": normalize.agent_messages(raw),
+        "web_accounts": merged("web_accounts", normalize.web_accounts(web_raw), normalize.merge_accounts), "web_conversations": merged("web_conversations", normalize.web_conversations(web_raw), normalize.merge_web_conversations), "web_messages": web,
+        "agent_conversations": merged("agent_conversations", normalize.agent_conversations(raw), normalize.merge_agent_conversations), "agent_messages": normalize.agent_messages(raw),
         "tree_conversations": _empty(w, "tree_raw", TREE_RAW), "tree_messages": _empty(w, "tree_messages", TREE), "agent_raw": raw,
     }
     stored = {n: w.read(n) for n in ("accounts", "conversations", "messages") if w.has(n)}

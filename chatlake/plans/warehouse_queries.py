@@ -81,6 +81,14 @@ def branched_conversations(spark: SparkSession, d: str) -> DataFrame:
 # --- spans, filters, mappings ---------------------------------------------------------------------------------------
 
 
+@query("SELECT date_trunc('hour', ts) AS hour, event_type, count(*) AS n FROM events GROUP BY ALL")
+def hourly_activity(spark: SparkSession, d: str) -> DataFrame:
+    """The windows of the stream of events, over the whole table."""
+    from chatlake.streaming.tables import activity
+
+    return activity(load(spark, d, "events"), "ts", "event_type").select(F.col("window.start").alias("hour"), "event_type", "n")
+
+
 @query("SELECT user_id, min(ts) AS first_seen, max(ts) AS last_seen FROM events GROUP BY 1")
 def account_span(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "events").groupBy("user_id").agg(F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))

@@ -193,6 +193,29 @@ def test_merges_touch_only_their_buckets(spark, tmp_path):
     assert len(on_disk) <= 3
 
 
+def test_normalising_again_keeps_and_takes(spark, tmp_path):
+    """Names are overwritten, first dates and devices kept, last dates only grow."""
+    from chatlake.plans import normalize as N
+
+    t = lambda d: f"2024-01-0{d}"
+    conv = lambda *r: spark.createDataFrame([r], "conversation_id string, account_id string, name string, summary string, created_at string, updated_at string")
+    got = N.merge_web_conversations(conv("c", "a", "old", "s1", t(1), t(5)), conv("c", "b", "new", "s2", t(2), t(3))).first()
+    assert (got["account_id"], got["name"], got["summary"], got["created_at"], got["updated_at"]) == ("a", "new", "s2", t(1), t(5))
+    agent = lambda *r: spark.createDataFrame([r], "conversation_id string, device string, project_path string, created_at string, updated_at string")
+    got = N.merge_agent_conversations(agent("c", "d1", "/p", t(2), t(3)), agent("c", "d2", "/q", t(1), t(4))).first()
+    assert (got["device"], got["project_path"], got["created_at"], got["updated_at"]) == ("d1", "/p", t(2), t(4))
+    acc = lambda *r: spark.createDataFrame([r], "account_id string, email string, first_seen string, last_seen string")
+    got = N.merge_accounts(acc("a", "e1", t(1), t(2)), acc("a", "e2", t(3), t(4))).first()
+    assert (got["email"], got["first_seen"], got["last_seen"]) == ("e1", t(1), t(4))
+    w = P.Warehouse(spark, str(tmp_path / "wh"))
+    raw = lambda name, day: spark.createDataFrame([("c", "a", "e", None, name, None, "{}", "f")], P.WEB_RAW).withColumn("updated_at", P.F.lit(t(day)).cast("timestamp"))
+    for name, day, want in (("n1", 5, 5), ("n2", 3, 5), ("n3", 6, 6)):
+        w.swap({"web_raw": raw(name, day)})
+        P.run_normalize(w)
+        r = w.read("web_conversations").first()
+        assert (r["name"], r["updated_at"].day) == (name, want)
+
+
 def test_stages():
     def bad():
         raise ValueError("x")
