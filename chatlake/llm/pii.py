@@ -266,8 +266,10 @@ def _numbers(t: _Text, a: int, b: int, out: dict) -> None:
                 if piece.count("(") != piece.count(")"):
                     continue
                 digits = sum(map(str.isdigit, piece))
-                if not 4 <= digits <= 20 or digits < 6 and sum(map(str.isalnum, piece)) < 8:
+                if not 4 <= digits <= 20 or digits < 6 and (j > i or len(piece) < 8):
                     continue
+                if j > i and text[groups[j][0] : e].isalpha() and e - groups[j][0] > 1 and text[groups[j][0] - 1].isspace():
+                    continue  # a word after a number
                 if s0 not in cues:
                     cues[s0] = t.cue(s0)
                 mask = piece.translate(_MASK)
@@ -284,7 +286,8 @@ def _numbers(t: _Text, a: int, b: int, out: dict) -> None:
                 start = s0 - 4 if text[max(0, s0 - 4) : s0].lower() == "tel:" else s0
                 link = "tel" if start < s0 else "no_tel"
                 for kind, f in zip(("phone", "id_number"), _number_features(mask, cues[s0], left, right, part, digits, link), strict=True):
-                    out[start if kind == "phone" else s0, e, kind] = f
+                    if kind == "id_number" or "A" not in mask:  # no letters in a phone number
+                        out[start if kind == "phone" else s0, e, kind] = f
 
 
 @functools.lru_cache(maxsize=50_000)
