@@ -9,6 +9,11 @@ from chatlake.plans import pipeline as P
 from chatlake.sources import jsonl, zip_json
 
 
+@pytest.fixture(autouse=True)
+def few_buckets(monkeypatch):
+    monkeypatch.setattr(P.Warehouse, "BUCKETS", 4)
+
+
 def put(path, body):
     os.makedirs(os.path.dirname(path), exist_ok=True)
     with open(path, "wb") as f:
