@@ -10,10 +10,11 @@ run of ASCII letters and digits and characters beyond ASCII; runs of digits are
 chains. Numeric entities (&#195;) are read as their characters first, since garbled text is often written so.
 
 Scripts without spaces have no words that recur; there the words are pairs of neighbouring characters, and their garbled
-forms, of any length, are looked up at every position of the odd words of a document, and compared whole. A word is odd
-with a character of another script than those, or, where it has none, when a double-byte table turns it back into UTF-8
-or into Japanese or Korean. What Chinese read by another Chinese table gives is Chinese again and is only found where a
-whole run recurs.
+forms, of any length, are looked up at every position of every word, and compared whole. A word is odd with a character
+of another script than those, or, where it has none, when a double-byte table turns it back into UTF-8 or into Japanese
+or Korean. Any other word may be clean (what Chinese read by another Chinese table gives is Chinese again), so there a
+form counts only where its original stands in clearly more texts than the form does, and, but for chains through UTF-8,
+beside another form of the same chain in the word.
 
 A document is garbled when its matches weigh 1 or more: a match of a chain through UTF-8 or of four or more characters
 weighs 1, a shorter one less. Restoring: matched words are replaced. In a stretch found by character pairs, and for words
@@ -57,6 +58,7 @@ WORD = r"[0-9A-Za-z]*[^\x00-\x7f](?:[0-9A-Za-z]|[^\x00-\x7f])*"
 _SPACELESS = "぀-ヿ㐀-鿿　-〿＀-･가-힯฀-๿"
 _KNOWN = re.compile(f"[\x00-\x7f{_SPACELESS}Ѐ-ӿͰ-Ͽ֐-ۿ]+")
 _PAIR = re.compile(f"[{_SPACELESS}]{{2,}}")
+_ANY = re.compile(f"[{_SPACELESS}]")
 _KANA, _HANGUL = re.compile("[぀-ヿ]"), re.compile("[가-힯]")
 #: Lengths of the beginnings by which forms of character pairs are looked up, with what must follow in a longer form.
 KEYS = {2: 0, 3: 0, 4: 0, 5: 0, 6: 5, 12: 24}
@@ -167,6 +169,7 @@ def _plain(chain: tuple[tuple[str, str], ...]) -> bool:
 _PLAIN = {n for n, c in enumerate(CHAINS) if _plain(c)}
 #: Chains from one double-byte table to another, whose forms are of the same scripts.
 _ALIKE = {n for n, c in enumerate(CHAINS) if c[0][0] in _WIDE and c[0][1] in _WIDE}
+_UTF = [n for n, c in enumerate(CHAINS) if c[0][0] == "utf-8"]
 _BACK_UTF8 = [c for c in CHAINS if len(c) == 1 and c[0][0] == "utf-8" and c[0][1] in _WIDE]
 _BACK_SOUND = [c for n, c in enumerate(CHAINS) if n in _ALIKE and c[0][0] in ("shift_jis", "euc_jp", "euc_kr")]
 
@@ -181,16 +184,16 @@ def _key(form: str) -> tuple[str, str] | None:
     return (form[:size], form[size:]) if size else None
 
 
-#: `chains` are numbers of chains, joined by commas: there are very many forms, and few of them occur.
-_FORM = "key string, tail string, word string, docs bigint, texts bigint, chains string, weight double, plain boolean, pair boolean"
+#: `chains` are numbers of chains, joined by commas: there are very many forms, and few of them occur. `wid` is null for pairs.
+_FORM = "key string, tail string, wid bigint, word string, docs bigint, texts bigint, chains string, weight double, plain boolean, pair boolean"
 
 
 def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The forms of each word (word, docs, texts, pair); one row for all plain chains of a form, one for all others."""
+    """The forms of each word (wid, word, docs, texts, pair); one row for all plain chains of a form, one for all others."""
     columns = [x.split()[0] for x in _FORM.split(", ")]
     out: list[tuple] = []
     for b in batches:
-        for w, docs, texts, pair in zip(b["word"], b["docs"], b["texts"], b["pair"], strict=True):
+        for i, w, docs, texts, pair in zip(b["wid"].astype("Int64"), b["word"], b["docs"], b["texts"], b["pair"], strict=True):
             letters = len(w) > 2 and any(c > "\x7f" and c.isalpha() for c in w)
             for f, numbers in garble_all(w).items():
                 n = _foreign(f)
@@ -205,16 +208,16 @@ def _forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         alike = [c for c in chains if c in _ALIKE]
                         for some, weight in ((alike, 0.2), ([c for c in chains if c not in _ALIKE], 0.5)):
                             if at and some:
-                                out.append((*at, w, docs, texts, ",".join(map(str, some)), weight, plain, True))
+                                out.append((*at, None, w, docs, texts, ",".join(map(str, some)), weight, plain, True))
                     else:
                         utf = any(CHAINS[c][0][0] == "utf-8" for c in chains)
                         weight = 1.0 if utf and n > 1 or n >= 4 or any(CHAINS[c][0][1] == "utf-8" for c in chains) else 0.5 if len(f) >= 4 else 0.2
-                        out.append((f, "", w, docs, texts, ",".join(map(str, chains)), weight, plain, False))
+                        out.append((f, "", i, None, docs, texts, ",".join(map(str, chains)), weight, plain, False))
             if len(out) >= _ROWS:
-                yield pd.DataFrame(out, columns=columns)
+                yield pd.DataFrame(out, columns=columns).astype({"wid": "Int64"})
                 out = []
     if out:
-        yield pd.DataFrame(out, columns=columns)
+        yield pd.DataFrame(out, columns=columns).astype({"wid": "Int64"})
 
 
 def _pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -232,7 +235,7 @@ def _pairs_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def odd(word: str) -> bool:
-    """Whether the positions of a word are looked up."""
+    """Whether a word cannot be clean, so that forms in it count however often they stand elsewhere."""
     if _foreign(word) < 4:
         return False
     if _KNOWN.sub("", word):
@@ -251,14 +254,30 @@ def odd(word: str) -> bool:
     return False
 
 
+def _pieces(word: str) -> set[tuple[str, str]]:
+    """(key, tail): the pieces of a word that may be garbled character pairs. Only chains of two steps, which give no
+    character of scripts without spaces, make a form of more than six."""
+    out = set()
+    for size, more in KEYS.items():
+        for j in range(len(word) - size + 1):
+            k = word[j : j + size]
+            if k[0] > "\x7f" or k[-1] > "\x7f":
+                if not more:
+                    out.add((k, ""))
+                elif not _ANY.search(k):
+                    out.add((k, word[j + size : j + size + more]))
+                elif size == 6:
+                    out.add((k, ""))
+    return out
+
+
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(key, tail, at, at_texts): the pieces of odd words that may be garbled character pairs; `at` is the word's number."""
-    columns, out = ["key", "tail", "at", "at_texts"], []
+    """(key, tail, at, at_texts, odd): the pieces of all words; `at` is the word's number."""
+    columns, out = ["key", "tail", "at", "at_texts", "odd"], []
     for b in batches:
         for i, w, texts in zip(b["wid"], b["word"], b["texts"], strict=True):
-            if odd(w):
-                seen = {(w[j : j + size], w[j + size : j + size + more]) for size, more in KEYS.items() for j in range(len(w) - size + 1)}
-                out += [(k, t, i, texts) for k, t in seen if k[0] > "\x7f" or k[-1] > "\x7f"]
+            sure = odd(w)
+            out += [(k, t, i, texts, sure) for k, t in _pieces(w)]
             if len(out) >= _ROWS:
                 yield pd.DataFrame(out, columns=columns)
                 out = []
@@ -266,6 +285,26 @@ def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=columns)
 
 
+def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(key, seen): in how many texts the keys of `_windows` stand, in parts."""
+    seen: dict[str, int] = {}
+    for b in batches:
+        for w, texts in zip(b["word"], b["texts"], strict=True):
+            for k in {k for k, _ in _pieces(w)}:
+                seen[k] = seen.get(k, 0) + texts
+            if len(seen) >= _ROWS:
+                yield pd.DataFrame({"key": list(seen), "seen": list(seen.values())})
+                seen = {}
+    if seen:
+        yield pd.DataFrame({"key": list(seen), "seen": list(seen.values())})
+
+
+def _confirmed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows (form, word, number, ...) whose word gives the form by the chain of that number."""
+    for b in batches:
+        yield b[[garble(w, CHAINS[n]) == f for f, w, n in zip(b["form"], b["word"], b["number"], strict=True)]]
+
+
 def _digits(col: str) -> object:
     return F.regexp_replace(col, "[0-9]+", "0")
 
@@ -297,8 +336,10 @@ def find_garbled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     weight, pair), the forms that occur, with the word they stand in and their originals; of several originals the most
     frequent.
 
-    Both sides of the joins with the forms grow with the corpus's words, so they are merged and never broadcast; windows
-    carry the number of their word and not the word. The words of a document are made distinct before they are shuffled,
+    Both sides of the joins with the forms grow with the corpus's words, so nothing there is broadcast by hint. Forms of
+    words travel as hashes with the number of their word, and those that meet a word of the documents are made again from
+    their word and compared. Windows are counted by key, the counts leave the forms of pairs that stand somewhere, and
+    only these, mostly few, meet the windows; these carry the number of their word and not the word. The words of a document are made distinct before they are shuffled,
     and counts combine before the shuffle. Python stages are spread over a stated number of tasks. The matches are as
     many as there are distinct garbled words, not documents.
     """
@@ -311,22 +352,32 @@ def find_garbled(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame
     tasks = _tasks(docs)
     spread = vocab.repartition(tasks, "word")
     pairs = spread.mapInPandas(_pairs_of, "word string, docs bigint, texts bigint").groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("texts").alias("texts")).filter(f"docs >= {MIN_DOCS}")
-    words = vocab.select("word", "docs", "texts", F.lit(False).alias("pair")).unionByName(pairs.withColumn("pair", F.lit(True)))
-    forms = cut(words.repartition(tasks, "word").mapInPandas(_forms, _FORM), "forms")
+    words = vocab.select("wid", "word", "docs", "texts", F.lit(False).alias("pair")).unionByName(pairs.select(F.lit(None).cast("bigint").alias("wid"), "*", F.lit(True).alias("pair")))
+    forms = words.repartition(tasks, "word").mapInPandas(_forms, _FORM)
+    forms = cut(forms.withColumns({"hash": F.when(~F.col("pair"), F.xxhash64("key")), "key": F.when(F.col("pair"), F.col("key"))}), "forms")
 
-    seen = vocab.select(F.col("word").alias("key"), F.col("docs").alias("seen"), F.col("texts").alias("seen_texts"))
+    seen = vocab.select(F.xxhash64("word").alias("hash"), F.col("word").alias("form"), F.col("docs").alias("seen"), F.col("texts").alias("seen_texts"))
     more = (F.col("texts") >= F.col("seen_texts") * TIMES) | (F.col("texts") >= F.col("seen_texts")) & (F.col("docs") >= F.col("seen") * TIMES)
     best = F.max(F.struct("docs", "word", "weight"))
-    whole = seen.join(forms.filter("not pair").hint("merge"), "key").filter(F.col("plain") | more)
-    whole = whole.select("key", F.explode(F.transform(F.split("chains", ","), _chain_name)).alias("chain"), "docs", "word", "weight").groupBy("key", "chain").agg(best.alias("b"))
-    whole = whole.select(F.col("key").alias("form"), F.col("key").alias("at"), "b.word", "chain", "b.weight", F.lit(False).alias("pair"))
-
-    windows = spread.mapInPandas(_windows, "key string, tail string, at bigint, at_texts bigint")
+    numbers = F.explode(F.split("chains", ",").cast("array<int>")).alias("number")
+    met = seen.join(forms.filter("not pair").select("hash", "wid", "docs", "texts", "chains", "weight", "plain").hint("merge"), "hash").filter(F.col("plain") | more)
+    met = cut(met.select("form", "wid", "docs", "weight", numbers), "met").join(vocab.select("wid", "word"), "wid")
+    whole = met.select("form", "word", "number", "docs", "weight").mapInPandas(_confirmed, "form string, word string, number int, docs bigint, weight double")
+    whole = whole.groupBy("form", "number").agg(best.alias("b"))
+    whole = whole.select("form", F.col("form").alias("at"), "b.word", _chain_name(F.col("number")).alias("chain"), "b.weight", F.lit(False).alias("pair"))
+
+    counts = spread.mapInPandas(_counts, "key string, seen bigint").groupBy("key").agg(F.sum("seen").alias("seen"))
+    live = forms.filter("pair").select("key", F.col("tail").alias("rest"), "word", "docs", "texts", "chains", "weight").hint("merge").join(counts, "key")
+    live = cut(live.withColumn("rarer", F.col("texts") >= F.col("seen") * TIMES).drop("seen"), "live")
+    windows = spread.mapInPandas(_windows, "key string, tail string, at bigint, at_texts bigint, odd boolean")
     alike = F.col("weight") < 0.5
-    inner = windows.join(forms.filter("pair").withColumnRenamed("tail", "rest").hint("merge"), "key").filter(F.startswith("tail", F.col("rest")) & (~alike | (F.col("texts") >= F.col("at_texts") * TIMES)))
-    inner = inner.select(F.concat("key", "rest").alias("form"), "at", F.explode(F.transform(F.split("chains", ","), _chain_name)).alias("chain"), "docs", "word", "weight").groupBy("form", "at", "chain").agg(best.alias("b"))
+    inner = windows.join(live, "key").filter(F.startswith("tail", F.col("rest")) & F.when(F.col("odd"), ~alike | (F.col("texts") >= F.col("at_texts") * TIMES)).otherwise(F.col("rarer")))
+    utf = F.col("number").isin(_UTF)
+    inner = inner.select(F.concat("key", "rest").alias("form"), "at", "odd", "docs", "word", "weight", numbers).withColumn("weight", F.when(F.col("odd") | utf, F.col("weight")).otherwise(0.2))
+    inner = inner.groupBy("form", "at", "odd", "number").agg(best.alias("b")).groupBy("at", "odd", "number").agg(F.collect_list(F.struct("form", "b")).alias("l"))
+    inner = inner.filter(F.col("odd") | utf | (F.size("l") > 1)).select("at", "number", F.explode("l").alias("x"))
     inner = inner.join(vocab.select(F.col("wid").alias("at"), F.col("word").alias("in_word")).hint("merge"), "at")
-    inner = inner.select("form", F.col("in_word").alias("at"), "b.word", "chain", "b.weight", F.lit(True).alias("pair"))
+    inner = inner.select("x.form", F.col("in_word").alias("at"), "x.b.word", _chain_name(F.col("number")).alias("chain"), "x.b.weight", F.lit(True).alias("pair"))
     matches = cut(whole.unionByName(inner), "matches")
     scores = matches.groupBy("at", "chain").agg(F.max(F.when(~F.col("pair"), F.col("weight"))).alias("w"), F.least(F.sum(F.when(F.col("pair"), F.col("weight"))), F.lit(1.0)).alias("p"))
     scores = cut(scores.select(F.col("at").alias("word"), "chain", F.greatest(F.coalesce("w", F.lit(0.0)), F.coalesce("p", F.lit(0.0))).alias("weight")), "scores")
@@ -351,10 +402,21 @@ def _undo(text: str, chain: tuple[tuple[str, str], ...]) -> str | None:
     return back if back is not None and back != text and garble(back, chain) == text else None
 
 
-def restore_text(text: str, whole: dict[str, str], inner: dict[str, list[str]], chain: str | None = None) -> tuple[str, int]:
+def _stretches(word: str, forms: list[str]) -> list[tuple[int, int]]:
+    """Where the forms stand in a word; a gap that one unknown character may have left is closed."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted({(m.start(), m.start() + len(f)) for f in forms for m in re.finditer(f"(?={re.escape(f)})", word)}):
+        if out and a <= out[-1][1] + 3:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def restore_text(text: str, whole: dict[str, str], inner: dict[str, list[tuple[str, list[str]]]], chain: str | None = None) -> tuple[str, int]:
     """(text with the originals, words replaced). `whole` maps a garbled word to its original, `inner` a word with
-    garbled stretches to the names of the chains that may have made them; both with digits as one sign. `chain`, where it
-    is plain, is undone in all words that it can have made."""
+    garbled stretches to the names of the chains that may have made them, each with the forms that stand there; both with
+    digits as one sign. `chain`, where it is plain, is undone in all words that it can have made."""
     n = 0
     own = _BY_NAME[chain] if chain in _BY_NAME and _plain(_BY_NAME[chain]) and all(t == "utf-8" for t, _ in _BY_NAME[chain]) else None
 
@@ -366,15 +428,18 @@ def restore_text(text: str, whole: dict[str, str], inner: dict[str, list[str]],
             n += 1
             return _put_digits(whole[key], raw)
         if key in inner:
-            chains = [_BY_NAME[c] for c in inner[key]]
-            out, at = [], 0
-            runs = list(re.finditer(f"[^{_SPACELESS}]+", raw)) or list(re.finditer(".+", raw))  # clean neighbours stay
-            for run in runs:
-                good = next((g for c in chains if (g := _undo(run.group(), c)) is not None and _PAIR.search(g)), None)
-                if good is not None:
-                    out += [raw[at : run.start()], good]
-                    at, n = run.end(), n + 1
-            return "".join(out) + raw[at:]
+            chains = [_BY_NAME[c] for c, _ in inner[key]]
+            runs = [r.span() for r in re.finditer(f"[^{_SPACELESS}]+", raw)] or [(0, len(raw))] * odd(key)  # clean neighbours stay
+            for spans, some in ((runs, chains), *((_stretches(raw, f), [_BY_NAME[c]]) for c, f in inner[key])):
+                out, at = [], 0
+                for a, b in spans:
+                    good = next((g for c in some if (g := _undo(raw[a:b], c)) is not None and _PAIR.search(g)), None)
+                    if good is not None:
+                        out += [raw[at:a], good]
+                        at, n = b, n + 1
+                if out:
+                    return "".join(out) + raw[at:]
+            return raw
         if own and (good := _undo(raw, own)) is not None:
             n += 1
             return good
@@ -394,8 +459,9 @@ def restore_garbled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     for _ in range(2):  # as many steps as chains have
         nxt = whole.select(F.col("form").alias("word"), F.col("word").alias("word2"))
         whole = whole.join(nxt, "word", "left").select("form", F.coalesce("word2", "word").alias("word"))
-    inner = matches.filter("pair").groupBy("at", "chain").agg(F.count("*").alias("n")).groupBy("at").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "chain"))), lambda x: x["chain"]).alias("chain"))
-    fix = cut(whole.select(F.col("form").alias("key"), "word", F.lit(None).cast("array<string>").alias("by")).unionByName(inner.select(F.col("at").alias("key"), F.lit(None).cast("string").alias("word"), F.col("chain").alias("by"))), "fixes")
+    inner = matches.filter("pair").groupBy("at", "chain").agg(F.count("*").alias("n"), F.array_sort(F.collect_set("form")).alias("forms"))
+    inner = inner.groupBy("at").agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "chain", "forms"))), lambda x: F.struct(x["chain"].alias("chain"), x["forms"].alias("forms"))).alias("by"))
+    fix = cut(whole.select(F.col("form").alias("key"), "word", F.lit(None).cast("array<struct<chain:string,forms:array<string>>>").alias("by")).unionByName(inner.select(F.col("at").alias("key"), F.lit(None).cast("string").alias("word"), "by")), "fixes")
     texts = docs.select(F.col(id_col).alias("id"), read_entities(F.col(text_col)).alias("text")).join(found.select("id", "chain"), "id").dropDuplicates(["id"])
     texts = cut(texts, "garbled")
     words = texts.select("id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), 0))).alias("raw")).select("id", _digits("raw").alias("key")).distinct()
@@ -406,7 +472,7 @@ def restore_garbled(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             out = []
             for i, t, chain, fixes in zip(b["id"], b["text"], b["chain"], b["fixes"], strict=True):
                 fixes = [] if fixes is None else fixes
-                new, n = restore_text(t, {x["key"]: x["word"] for x in fixes if x["word"] is not None}, {x["key"]: list(x["by"]) for x in fixes if x["word"] is None}, chain)
+                new, n = restore_text(t, {x["key"]: x["word"] for x in fixes if x["word"] is not None}, {x["key"]: [(y["chain"], list(y["forms"])) for y in x["by"]] for x in fixes if x["word"] is None}, chain)
                 out.append((i, new, n, chain))
             yield pd.DataFrame(out, columns=["id", "text", "n_replaced", "chain"])
 
